@@ -17,10 +17,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from docstrata.sources.tables import bounded_broadcast, cut
+
 MIN_CHARS = 200
 WORD = re.compile(r"[^\W\d_]{5,}")
 BROKEN = re.compile(r"(?<=\w)-\s*\n\s*(?=\w)")
 CACHE_WORDS = 500_000
+MAX_BROADCAST = 200_000
+PIVOTS = 32  # a power of two
 
 
 def word_ids(words: list[str], cache: dict[str, int]) -> list[int]:
@@ -44,12 +48,14 @@ def plain(text: str) -> str:
 
 
 def profiles(documents: DataFrame, id_cols: list[str]) -> DataFrame:
-    """id_cols, n_chars (trimmed), n_words, norm (hash of the text without spacing and case), words, counts.
+    """id_cols, n_chars (trimmed), n_words, norm (hash of the text without spacing and case), words, counts, pivots.
+
+    ``pivots`` are the word counts in ``PIVOTS`` fixed hash classes (see llm.history).
 
     Null or empty text: n_chars 0, norm of the empty string, empty arrays.  Other columns are ignored.
     """
     schema = documents.select(*id_cols).schema
-    out_schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema) + ", n_chars int, n_words int, norm bigint, words array<int>, counts array<smallint>"
+    out_schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema) + ", n_chars int, n_words int, norm bigint, words array<int>, counts array<smallint>, pivots array<int>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache: dict[str, int] = {}
@@ -66,11 +72,15 @@ def profiles(documents: DataFrame, id_cols: list[str]) -> DataFrame:
                 n_chars.append(len(t.strip()))
                 norm.append(xxhash.xxh64_intdigest("".join(parts)) - (1 << 63))
             o = pa.array(offs, pa.int32())
+            ids_np, cnt_np, rows = np.array(ids, dtype=np.int32), np.array(cnt, dtype=np.int64), len(n_words)
+            doc = np.repeat(np.arange(rows), np.diff(offs))
+            grid = np.bincount(doc * PIVOTS + (ids_np & (PIVOTS - 1)), weights=cnt_np, minlength=rows * PIVOTS).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [b.column(i) for i in range(len(id_cols))]
                 + [pa.array(n_chars, pa.int32()), pa.array(n_words, pa.int32()), pa.array(norm, pa.int64())]
-                + [pa.ListArray.from_arrays(o, pa.array(np.array(ids, dtype=np.int32))), pa.ListArray.from_arrays(o, pa.array(np.minimum(np.array(cnt, dtype=np.int64), 32000).astype(np.int16)))],
-                names=[*id_cols, "n_chars", "n_words", "norm", "words", "counts"],
+                + [pa.ListArray.from_arrays(o, pa.array(ids_np)), pa.ListArray.from_arrays(o, pa.array(np.minimum(cnt_np, 32000).astype(np.int16)))]
+                + [pa.ListArray.from_arrays(pa.array(np.arange(rows + 1, dtype=np.int32) * PIVOTS), pa.array(grid))],
+                names=[*id_cols, "n_chars", "n_words", "norm", "words", "counts", "pivots"],
             )
 
     return documents.select(*id_cols, "text").mapInArrow(run, out_schema)
@@ -79,3 +89,15 @@ def profiles(documents: DataFrame, id_cols: list[str]) -> DataFrame:
 def term_frequencies(profile: DataFrame) -> DataFrame:
     """word, df: documents of ``profile`` that have the word (partial counts are made before the shuffle)."""
     return profile.select(F.explode("words").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("df"))
+
+
+def common_words(profile: DataFrame, share: float, at_least: int) -> tuple[DataFrame, DataFrame]:
+    """(word, df) of words in two documents or more, and the words above ``share`` of the documents.
+
+    The second list has at most (distinct words per text) / share rows whatever the corpus size, so it may be
+    broadcast; its size is checked before the hint is given.
+    """
+    n = profile.count()
+    df = cut(term_frequencies(profile).filter("df >= 2"))
+    common = df.filter(F.col("df") > max(at_least, int(share * n))).select("word")
+    return df, bounded_broadcast(common, common.count(), MAX_BROADCAST)
