@@ -101,3 +101,25 @@ def common_words(profile: DataFrame, share: float, at_least: int) -> tuple[DataF
     df = cut(term_frequencies(profile).filter("df >= 2"))
     common = df.filter(F.col("df") > max(at_least, int(share * n))).select("word")
     return df, bounded_broadcast(common, common.count(), MAX_BROADCAST)
+
+
+UNRELATED = 0.35  # below this share of the smaller vocabulary in common two texts are unrelated
+
+
+def checksum_members(texts: DataFrame) -> DataFrame:
+    """md5, key, first for checksums that stand for one file; ``texts`` has md5, key, seq and words.
+
+    Each text is compared with the earliest of its checksum that has words: one row per text, however many
+    share the checksum.  A checksum with any unrelated text proves nothing and is left out whole.  Texts
+    without words (blank, failed conversions) neither prove nor disprove.
+    """
+    sums = texts.groupBy("md5").agg(
+        F.count(F.lit(1)).alias("n"), F.min(F.struct("seq", "key"))["key"].alias("first"), F.min_by("key", F.when(F.size("words") > 0, F.col("seq"))).alias("model")
+    )
+    sums = sums.filter("n > 1").select("md5", "first", "model")
+    t = cut(texts.join(sums, "md5"))
+    model = t.filter("key = model").select("md5", F.col("words").alias("m_words"))
+    both = t.filter("key <> model").join(model, "md5").filter("size(words) > 0")
+    share = F.size(F.array_intersect("words", "m_words")) / F.least(F.size("words"), F.size("m_words"))
+    void = both.filter(share < UNRELATED).select("md5").distinct()
+    return t.join(void, "md5", "left_anti").select("md5", "key", "first")
