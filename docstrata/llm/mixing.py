@@ -13,7 +13,8 @@ all tasks.
 Edge results: null source and sources without a target are left out (share 0); a target without any tokens
 cannot be met and is reported with actual share 0, the others keep their proportions; null or empty texts
 have 0 tokens and may be chosen like any document; max_repeats null counts as 1, below 1 as source left out;
-several target rows of one source are added up; empty tables give empty results.
+several target rows of one source are added up; repeated rows (same doc_id) count once; empty tables give
+empty results.
 """
 
 from __future__ import annotations
@@ -54,7 +55,7 @@ def token_counts(documents: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("source"), pa.array(n, pa.int64())], names=["doc_id", "source", "n_tokens"])
 
     named = documents.filter("doc_id is not null").select("doc_id", clean_source(F.col("source")).alias("source"), "text")
-    return named.mapInArrow(run, "doc_id bigint, source string, n_tokens bigint")
+    return named.mapInArrow(run, "doc_id bigint, source string, n_tokens bigint").dropDuplicates(["doc_id"])
 
 
 def mix_rates(counts: DataFrame, targets: DataFrame) -> DataFrame:

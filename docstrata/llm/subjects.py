@@ -14,7 +14,7 @@ accuracies by EM without labels.  It works on counts of vote patterns, of which
 subjects x 9 x 2 x 2 x 2 x 3, so nothing that grows with the corpus reaches the driver.
 
 Edge results: texts under 200 characters, null and blank texts give no row; a text without any topical word
-gives no row; null hints are abstentions; a document has at most two rows (its largest subjects).
+gives no row; no subjects no rows; null hints are abstentions; repeated rows count once; a document has at most two rows (its largest subjects).
 """
 
 from __future__ import annotations
@@ -61,7 +61,7 @@ def learn_lexicon(documents: DataFrame, hints: DataFrame, labels: DataFrame) ->
     known = hints.select("doc_id", F.col("hint").alias("subject")).unionByName(labels.filter("doc_id is not null and subject is not null").select("doc_id", "subject")).distinct()
     one = known.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.min("subject").alias("subject")).filter("n = 1")
     sample = cut(one.orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_LEXICON_DOCS).select("doc_id", "subject"))
-    texts = documents.select("doc_id", "text").join(F.broadcast(sample), "doc_id")  # MAX_LEXICON_DOCS rows
+    texts = documents.select("doc_id", "text").join(F.broadcast(sample), "doc_id").dropDuplicates(["doc_id"])  # MAX_LEXICON_DOCS rows
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[tuple[str, str], int] = defaultdict(int)
@@ -106,7 +106,8 @@ def topical_shares(documents: DataFrame, lexicon: dict[str, str], codes: list[st
                 heads.append(codes[head[0][0]] if head else None)
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(shares, pa.list_(pa.float32())), pa.array(heads, pa.string())], names=["doc_id", "shares", "heading"])
 
-    return documents.filter("doc_id is not null").select("doc_id", "text", "title").mapInArrow(run, "doc_id bigint, shares array<float>, heading string")
+    texts = documents.filter("doc_id is not null").select("doc_id", "text", "title")
+    return texts.mapInArrow(run, "doc_id bigint, shares array<float>, heading string").dropDuplicates(["doc_id"])
 
 
 def fit_votes(patterns: list[tuple[tuple[int, ...], int]], sizes: tuple[int, ...], rounds: int = 50) -> dict[tuple[int, ...], float]:
@@ -138,6 +139,8 @@ def fit_votes(patterns: list[tuple[tuple[int, ...], int]], sizes: tuple[int, ...
 def subject_votes(documents: DataFrame, auto_topics: DataFrame, labels: DataFrame, subjects: DataFrame) -> DataFrame:
     """doc_id, subject, share, posterior for every (document, subject code)."""
     codes = sorted(r["subject"] for r in subjects.filter("subject is not null").select("subject").distinct().limit(1000).collect())
+    if not codes:
+        return documents.sparkSession.createDataFrame([], "doc_id bigint, subject string, share float, posterior double")
     hints = cut(weak_labels(documents, auto_topics, labels, subjects))
     lexicon = learn_lexicon(documents, hints, labels)
     text = cut(topical_shares(documents, lexicon, codes))
