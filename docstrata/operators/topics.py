@@ -6,9 +6,12 @@ document is projected and assigned.  Fewer than 8 documents with terms give an e
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import IDF, HashingTF, Normalizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.mllib.linalg import Vectors
 from pyspark.mllib.linalg.distributed import RowMatrix
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,7 +20,7 @@ from docstrata.operators.text import words
 from docstrata.sources.tables import cut
 
 FIT_ROWS = 20_000
-FEATURES = 2048
+FEATURES = 1024
 DIMS = 40
 
 
@@ -25,7 +28,7 @@ def topic_clusters(docs: DataFrame, key: str, max_clusters: int = 100) -> DataFr
     """key, cluster, distance to the centre."""
     w = docs.select(key, words(F.col("text")).alias("w")).filter(F.size("w") > 0)
     tf = HashingTF(inputCol="w", outputCol="tf", numFeatures=FEATURES).transform(w).select(key, "tf")
-    tf = cut(tf.withColumn("tf", F.col("tf")))
+    tf = cut(tf)
     n = tf.count()
     if n < 8:
         return tf.select(key, F.lit(0).alias("cluster"), F.lit(0.0).alias("distance")).limit(0)
@@ -33,17 +36,14 @@ def topic_clusters(docs: DataFrame, key: str, max_clusters: int = 100) -> DataFr
     idf = IDF(inputCol="tf", outputCol="x", minDocFreq=5).fit(fit)
     norm = Normalizer(inputCol="x", outputCol="u")
     rows = norm.transform(idf.transform(fit)).select("u")
-    from pyspark.mllib.linalg import Vectors
-
-    matrix = RowMatrix(rows.rdd.map(lambda r: Vectors.fromML(r["u"])))
-    basis = matrix.computeSVD(min(DIMS, FEATURES - 1, n - 1)).V.toArray()
+    # one pass: the right singular vectors are the leading eigenvectors of the FEATURES x FEATURES Gramian
+    gram = RowMatrix(rows.rdd.map(lambda r: Vectors.fromML(r["u"]))).computeGramianMatrix().toArray()
+    basis = np.linalg.eigh(gram)[1][:, ::-1][:, : min(DIMS, FEATURES - 1, n - 1)]
+    basis = basis * np.where(basis[np.abs(basis).argmax(0), np.arange(basis.shape[1])] < 0, -1.0, 1.0)  # signs fixed
     packed = docs.sparkSession.sparkContext.broadcast(basis)
 
     @F.pandas_udf("array<double>")
     def project(u):
-        import numpy as np
-        import pandas as pd
-
         x = np.stack(u.to_numpy()) @ packed.value if len(u) else np.zeros((0, packed.value.shape[1]))
         return pd.Series(list(x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)))
 
@@ -53,8 +53,11 @@ def topic_clusters(docs: DataFrame, key: str, max_clusters: int = 100) -> DataFr
     sample = z.orderBy(F.xxhash64(key), key).limit(FIT_ROWS)
     model = KMeans(k=min(k, n), seed=0, maxIter=15).fit(sample)
     out = model.transform(z)
-    centres = [F.array(*[F.lit(float(v)) for v in c]) for c in model.clusterCenters()]
-    point = vector_to_array("features")
-    centre = F.element_at(F.array(*centres), F.col("prediction") + 1)
-    gap = F.sqrt(F.aggregate(F.zip_with(point, centre, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda a, x: a + x))
+    centres = docs.sparkSession.sparkContext.broadcast(np.array(model.clusterCenters()))
+
+    @F.pandas_udf("double")
+    def distance(x: pd.Series, c: pd.Series) -> pd.Series:
+        return pd.Series(np.linalg.norm(np.stack(x.to_numpy()) - centres.value[c.to_numpy()], axis=1) if len(x) else [])
+
+    gap = distance(vector_to_array("features"), F.col("prediction"))
     return out.select(key, F.col("prediction").alias("cluster"), F.round(gap, 6).alias("distance"))
