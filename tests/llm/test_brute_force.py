@@ -124,6 +124,18 @@ def test_leaks(spark):
     assert {k for k, v in got.items() if v != "verbatim"} == {(4, 1), (4, 2)}
 
 
+def test_leak_with_changed_names(spark):
+    """Two of six names changed in a run that else matches: a leak; stock wording around other names: none."""
+    passage = "Whoever needs Zansilo referees should first ask in Yolmip before the fans of Javelb and the authorities of Fikabo resolve to replace the Ossize heats with Bermek controls next year."
+    items = spark.createDataFrame([(1, f"Read this.\n\n{passage}\n\nWhich is true?")], "item_id bigint, text string")
+    filler = "Some unrelated lines about gardens and roads that nobody needs to read twice. " * 4
+    few = passage.replace("Zansilo", "certain").replace("Bermek", "other")
+    stock = few.replace("Yolmip", "Travond").replace("Javelb", "Quexil").replace("Ossize", "Gromund")
+    docs = spark.createDataFrame(list(enumerate([filler + few + filler, filler + stock + filler])), "doc_id bigint, text string")
+    got = leaks.leaked_items(docs, items).filter("kind = 'verbatim'").collect()
+    assert [(r.doc_id, r.item_id) for r in got] == [(0, 1)]
+
+
 def test_mix_reaches_shares(spark, t):
     r = mixing.mix_report(t("documents"), t("mix_targets")).collect()
     assert all(x.repeats_used <= x.max_repeats for x in r)
