@@ -38,15 +38,15 @@ def running_sums(rows: DataFrame, order: list[str], size: str) -> DataFrame:
     return ranged.join(F.broadcast(starts), "bucket").withColumn("cum", F.round(F.col("start") + F.sum(size).over(w), 6)).drop("bucket", "start")
 
 
-def admit(files: DataFrame, budget: float, order: list[str], size: str = "size_mb", max_rounds: int = 200) -> DataFrame:
+def admit(files: DataFrame, budget: float, order: list[str], size: str = "size_mb") -> DataFrame:
     """The files admitted within the budget; null sizes count as 0, rows must be unique in ``order``."""
     rest = cut(files.withColumn(size, F.coalesce(size, F.lit(0.0))).withColumn("_o", F.struct(*order)))
     done, left = None, budget
-    for i in range(max_rounds):
+    while True:  # every round takes at least one file out of ``rest``
         sums = cut(running_sums(rest, order, size))
         if sums.isEmpty():
             break
-        first = sums.agg(F.min("_o").alias("o")).first()["o"] if i == 0 else None
+        first = sums.agg(F.min("_o").alias("o")).first()["o"] if done is None else None
         over = F.col("cum") > left
         if first is not None:  # the very first file is admitted whatever its size
             over = over & (F.col("_o") > F.struct(*[F.lit(v) for v in first]))
