@@ -24,6 +24,9 @@ UNCATEGORIZED_FOLDERS = [
     "documents", "all unorganised files", "downloads", "files", "docs", "saved from web", "saved from chrome", "attachments", "sent files",
     "new folder", "type", "",
 ]
+# File types that are imported, and top folders whose files are known already.
+IMPORT_EXTENSIONS = ["pdf", "doc", "docx", "ppt", "pptx", "epub", "djvu", "mobi", "chm", "ris"]
+COVERED_FOLDERS = ["xlsx", "excel", "word", "pptx", "docx", "pdf"]
 # Title categories in order of precedence, each with some of its phrases; pass a longer list as parameter.
 TITLE_CATEGORIES = [
     ("IT / Software / Computer Science", ["software engineering", "computer science", "algorithm", "database", "programming", "machine learning", "sql", "compiler", "query planners", "microservices"]),

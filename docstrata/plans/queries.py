@@ -18,6 +18,7 @@ from docstrata.operators import claims as claim_ops
 from docstrata.operators import pending as pend
 from docstrata.operators import similarity, state, topics, units
 from docstrata.operators import text as text_ops
+from docstrata.sources import landed
 from docstrata.sources.tables import table
 
 CFG = Config()
@@ -487,6 +488,69 @@ def read_not_write(spark, d):
     return _stats(spark, d).filter("n_docs >= 20 and n_own <= n_docs / 20").orderBy(F.desc("n_docs"), "cluster").limit(10).select("cluster", "n_docs", "n_own")
 
 
+# --- discovery and filing ------------------------------------------------------------------------------------
+
+
+@query(f"""select item_key, {EXT} as ext from documents where {EXT} in ({SQL_LIST(config.IMPORT_EXTENSIONS)}) and lower({TOP}) not in ({SQL_LIST(config.COVERED_FOLDERS)}) and not contains(coalesce(path, ''), '!')
+and coalesce(path, '') not in (select catalog_path from fulltext_md where status = 'ok' and catalog_path is not null)""")
+def import_candidates(spark, d):
+    """Files of an allowed type outside the folders already covered whose path no finished attempt has."""
+    ext = X.extension(F.col("path"))
+    t = table(spark, d, "documents").select("item_key", F.coalesce("path", F.lit("")).alias("path"), ext.alias("ext"))
+    t = t.filter(F.col("ext").isin(config.IMPORT_EXTENSIONS) & ~F.lower(X.top_folder(F.col("path"))).isin(config.COVERED_FOLDERS) & ~F.contains("path", F.lit("!")))
+    done = table(spark, d, "fulltext_md").filter("status = 'ok' and catalog_path is not null").select(F.col("catalog_path").alias("path")).distinct()
+    return t.join(done, "path", "left_anti").select("item_key", "ext")
+
+
+@query("""select path, size, modified_ms, count(*) as n_rows from (select catalog_path as path, chars as size, epoch_ms(date_trunc('second', converted_at)) as modified_ms from fulltext_md
+where catalog_path is not null and chars is not null and converted_at is not null) group by 1, 2, 3""")
+def listing_rows(spark, d):
+    """Attempts written as listing lines and read back; lines that lack a field are dropped."""
+    t = table(spark, d, "fulltext_md").select(F.concat_ws("\t", "catalog_path", F.col("chars").cast("string"), F.date_format("converted_at", "yyyy-MM-dd HH:mm:ss.SSSSSS")).alias("value"))
+    return landed.listing(t).groupBy("path", "size", "modified_ms").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@query("""select coalesce(a.path, b.path) as path, a.path is not null as in_catalogue, b.path is not null as in_attempts from (select distinct path from documents where path is not null) a
+full join (select distinct catalog_path as path from fulltext_md where catalog_path is not null) b on a.path = b.path""")
+def path_union(spark, d):
+    """All paths of catalogue and attempts with where they occur."""
+    a = table(spark, d, "documents").filter("path is not null").select("path", F.lit(True).alias("a"), F.lit(False).alias("b"))
+    b = table(spark, d, "fulltext_md").filter("catalog_path is not null").select(F.col("catalog_path").alias("path"), F.lit(False).alias("a"), F.lit(True).alias("b"))
+    return a.unionByName(b).groupBy("path").agg(F.bool_or("a").alias("in_catalogue"), F.bool_or("b").alias("in_attempts"))
+
+
+@query(f"""with t as (select {TOPIC} topic, count(*) n from documents group by 1), k as (select distinct topic from docs where topic is not null)
+select t.topic, 'C_' || substr(md5(t.topic), 1, 8) as collection_key, k.topic is null as created, n as n_docs from t left join k on t.topic = k.topic""")
+def topic_collections(spark, d):
+    """A collection key per topic, kept where the collection exists and made where it does not."""
+    t = table(spark, d, "documents").groupBy(X.path_topic(F.col("path")).alias("topic")).agg(F.count(F.lit(1)).alias("n_docs"))
+    known = table(spark, d, "docs").filter("topic is not null").select("topic").distinct().withColumn("known", F.lit(True))
+    key = F.concat(F.lit("C_"), F.substring(F.md5("topic"), 1, 8))
+    return t.join(known, "topic", "left").select("topic", key.alias("collection_key"), F.col("known").isNull().alias("created"), "n_docs")
+
+
+@query(f"""select item_key from documents where ({CATEGORY}) = 'uncategorized' and item_key not in (select item_key from auto_topics where item_key is not null and auto_topic is not null and auto_topic <> '{config.UNCLASSIFIED}')""")
+def unclassified_items(spark, d):
+    """Items without a telling folder that no classifier has named yet."""
+    t = table(spark, d, "documents").filter(X.folder_category(X.top_folder(F.col("path"))) == "uncategorized").select("item_key")
+    named = table(spark, d, "auto_topics").filter((F.col("auto_topic") != config.UNCLASSIFIED) & F.col("item_key").isNotNull()).select("item_key").distinct()
+    return t.join(named, "item_key", "left_anti")
+
+
+@query("""select item_key, regexp_replace(coalesce(title, ''), '^[A-Z0-9]{8}_', '') as title, coalesce(title, '') <> regexp_replace(coalesce(title, ''), '^[A-Z0-9]{8}_', '') as had_key from documents""")
+def clean_titles(spark, d):
+    t = X.clean_title(F.col("title"))
+    return table(spark, d, "documents").select("item_key", t.alias("title"), (F.coalesce("title", F.lit("")) != t).alias("had_key"))
+
+
+@query(f"""with c as {CONVERTED}, g as (select text_hash, count(*) n, arg_min(own_kind, struct_pack(a := own_kind = 'own', b := coalesce(category, '') = 'backup', c := -coalesce(chars, 0), k := item_key)) kind from c group by 1)
+select kind, sum(n) as n_docs, count(*) as n_texts from g group by 1""")
+def kind_counts(spark, d):
+    """Documents and distinct texts of each kind after copies took the kind of their best copy."""
+    t = canonical_docs(spark, d)
+    return t.groupBy("kind").agg(F.count(F.lit(1)).alias("n_docs"), F.count_if("is_canonical").alias("n_texts"))
+
+
 # --- text --------------------------------------------------------------------------------------------------
 
 WORDS = f"list_filter(regexp_extract_all(lower(coalesce(text, '')), '[\\p{{L}}\\p{{M}}\\p{{N}}_]+'), lambda x: regexp_matches(x, '^[a-z]{{3,}}$') and not list_contains([{SQL_LIST(config.STOP_WORDS)}], x))"
@@ -580,6 +644,17 @@ def embedding_neighbours(spark, d):
     return similarity.nearest(v, v.filter("vec_id % 50 = 0")).withColumn("similarity", F.round("similarity", 6))
 
 
+NEIGHBOURS = ORACLE["embedding_neighbours"]
+
+
+@query(f"select case when similarity >= 0.995 then 'same' when similarity >= 0.97 then 'near' else 'other' end as band, count(*) as n_pairs, max(similarity) as closest from ({NEIGHBOURS}) group by 1")
+def neighbour_bands(spark, d):
+    """How many of the neighbours found are copies, near copies or neither."""
+    s = F.col("similarity")
+    band = F.when(s >= 0.995, "same").when(s >= 0.97, "near").otherwise("other")
+    return embedding_neighbours(spark, d).groupBy(band.alias("band")).agg(F.count(F.lit(1)).alias("n_pairs"), F.max("similarity").alias("closest"))
+
+
 @query()
 def topic_clusters(spark, d):
     return topics.topic_clusters(table(spark, d, "documents"), "item_key")
