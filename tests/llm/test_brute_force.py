@@ -110,6 +110,26 @@ def test_hot_group_of_near_copies(spark):
     assert len({got[i] for i in range(100)}) == 1
 
 
+def test_hot_group_with_own_words(spark):
+    """A third of all rows share a body; each has 5 to 20 % words of its own, some of them shared with another text."""
+    import random
+
+    rng = random.Random(4)
+    made = lambda k: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=k))
+    body = [made(8) for _ in range(80)]
+    accidental = [made(9) for _ in range(60)]
+    rows = []
+    for i in range(100):
+        own = [made(9) for _ in range(2 + i % 9)] + rng.sample(accidental, 2)
+        own += own[: 2 if i % 3 else 0]  # words repeated in the text itself
+        kept = rng.sample(body, len(body) - len(own) // 2)
+        rows.append((i, " ".join(kept + own)))
+    rows += [(1000 + i, " ".join([made(8) for _ in range(60)] + rng.sample(accidental, 2))) for i in range(200)]
+    got = {r.doc_id: r.cluster for r in clusters.similarity_clusters(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert len({got[i] for i in range(100)}) == 1
+    assert len({got[1000 + i] for i in range(200)}) == 200 and not {got[1000 + i] for i in range(200)} & {got[0]}
+
+
 def test_leaks(spark):
     passage = "The committee in Korvelund examined 45 tidal barriers beside the Marnotal ferries. Its report from Zebrinuk says that half of the Ostrelian cables were replaced in 1998 while every Pondaril winch stayed in use."
     items = spark.createDataFrame([(1, f"Read this.\n\n{passage}\n\nWhich is true?"), (2, f"Other.\n\n{passage}\n\nWhy?"), (3, "No passage"), (4, None)], "item_id bigint, text string")
