@@ -16,6 +16,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from docstrata.sources.tables import bounded_broadcast, cut
 
@@ -24,6 +25,7 @@ WORD = re.compile(r"[^\W\d_]{5,}")
 BROKEN = re.compile(r"(?<=\w)-\s*\n\s*(?=\w)")
 CACHE_WORDS = 500_000
 MAX_BROADCAST = 200_000
+BANDS, ROWS = 16, 3
 PIVOTS = 32  # a power of two, eight to a 64-bit number
 
 
@@ -105,6 +107,43 @@ def common_words(profile: DataFrame, share: float, at_least: int) -> tuple[DataF
     return df, bounded_broadcast(common, common.count(), MAX_BROADCAST)
 
 
+def band_keys(reps: DataFrame, key_col: str, common_ids: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+    """key_col, share, keys: the share of common words in the text, and its ``bands`` hashes of ``rows`` least words each.
+
+    Taken over common words, or over all words where a text has none.
+    """
+    common = reps.sparkSession.sparkContext.broadcast(np.sort(np.array([r["word"] for r in common_ids.collect()], dtype=np.int32)))
+    rng = np.random.default_rng(0)
+    factors = rng.integers(1, 1 << 62, bands * rows, dtype=np.int64) | 1
+    schema = T.StructType([reps.schema[key_col], T.StructField("share", T.DoubleType()), T.StructField("keys", T.ArrayType(T.LongType()))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = common.value
+        for b in batches:
+            shares, keys = [], []
+            for words, counts in zip(b.column(1), b.column(2), strict=True):
+                w, c = (np.asarray(x.values) for x in (words, counts))
+                at = np.searchsorted(known, w)
+                hit = at < len(known)
+                hit[hit] = known[at[hit]] == w[hit]
+                shares.append(float(c[hit].sum() / max(c.sum(), 1)))
+                w = (w[hit] if hit.any() else w).astype(np.int64)
+                if not len(w):
+                    keys.append([])
+                    continue
+                x = (w[None, :] + 0x51ED270B) * factors[:, None]
+                x = (x ^ (x >> 29)) * 0x3C79AC492BA7B653
+                least = w[np.argmin(x ^ (x >> 32), axis=1)].reshape(bands, rows)
+                key = np.arange(bands, dtype=np.int64)
+                for j in range(rows):
+                    key = (key ^ least[:, j]) * 0x1C69B3F74AC4AE35
+                    key ^= key >> 31
+                keys.append(key.tolist())
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(shares, pa.float64()), pa.array(keys, pa.list_(pa.int64()))], names=[key_col, "share", "keys"])
+
+    return reps.select(key_col, "words", "counts").mapInArrow(run, schema)
+
+
 UNRELATED = 0.35  # below this share of the smaller vocabulary in common two texts are unrelated
 
 

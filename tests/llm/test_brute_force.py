@@ -56,6 +56,22 @@ def test_repeats_against_all_pairs(t):
     assert len(found & expected) >= 0.95 * len(expected) and not found - expected
 
 
+def test_repeats_in_hot_group_with_own_words(spark):
+    """Near copies of one text, more than a word may have to be particular, each with several words of its own."""
+    import random
+
+    rng = random.Random(4)
+    made = lambda k: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=k))
+    body, accidental = [made(8) for _ in range(100)], [made(9) for _ in range(80)]
+    texts = [(f"n{i:03d}", " ".join(body + [made(9) for _ in range(5)] + rng.sample(accidental, 3))) for i in range(120)]
+    texts += [(f"o{i:03d}", " ".join([made(8) for _ in range(90)] + rng.sample(accidental, 3))) for i in range(180)]
+    documents = spark.createDataFrame(texts, "item_key string, text string")
+    docs = spark.createDataFrame([(k, f"2026-01-{1 + i % 9:02d}", None) for i, (k, _) in enumerate(texts)], "item_key string, first_seen string, text_hash string")
+    none = spark.createDataFrame([], "text_hash string, item_key string, md5 string")
+    got = {r.item_key for r in history.repeated_rows(docs, documents, none.select("text_hash"), none.select("item_key", "md5")).collect()}
+    assert got == {f"n{i:03d}" for i in range(1, 120)}
+
+
 def test_batch_by_batch_equals_all_at_once(t):
     everything = {r.item_key for r in history.repeated_rows(t("docs"), t("documents"), t("claims_done").limit(0), t("fulltext_md")).filter("reason <> 'same file'").collect()}
     last = t("docs").agg(F.max("first_seen")).first()[0]
