@@ -22,11 +22,11 @@ from docstrata.sources.tables import bounded_broadcast, cut
 
 MIN_CHARS = 200
 WORD = re.compile(r"[^\W\d_]{5,}")
+TOKEN = re.compile(r"\w+")
 BROKEN = re.compile(r"(?<=\w)-\s*\n\s*(?=\w)")
 CACHE_WORDS = 500_000
 MAX_BROADCAST = 200_000
 BANDS, ROWS = 16, 3
-PIVOTS = 32  # a power of two, eight to a 64-bit number
 
 
 def word_ids(words: list[str], cache: dict[str, int]) -> list[int]:
@@ -50,14 +50,12 @@ def plain(text: str) -> str:
 
 
 def profiles(documents: DataFrame, id_cols: list[str]) -> DataFrame:
-    """id_cols, n_chars (trimmed), n_words, n_long (words of five letters or more), norm (hash of the text without spacing and case), words, counts, pivots.
-
-    ``pivots`` are the word counts in ``PIVOTS`` fixed hash classes, a byte each and 255 at most (see llm.history).
+    """id_cols, n_chars (trimmed), n_words, n_long (words of five letters or more), norm (hash of the text without spacing and case), words, counts.
 
     Null or empty text: n_chars 0, norm of the empty string, empty arrays.  Other columns are ignored.
     """
     schema = documents.select(*id_cols).schema
-    out_schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema) + ", n_chars int, n_words int, n_long int, norm bigint, words array<int>, counts array<smallint>, pivots struct<p0: bigint, p1: bigint, p2: bigint, p3: bigint>"
+    out_schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema) + ", n_chars int, n_words int, n_long int, norm bigint, words array<int>, counts array<smallint>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache: dict[str, int] = {}
@@ -75,16 +73,12 @@ def profiles(documents: DataFrame, id_cols: list[str]) -> DataFrame:
                 n_chars.append(len(t.strip()))
                 norm.append(xxhash.xxh64_intdigest("".join(parts)) - (1 << 63))
             o = pa.array(offs, pa.int32())
-            ids_np, cnt_np, rows = np.array(ids, dtype=np.int32), np.array(cnt, dtype=np.int64), len(n_words)
-            doc = np.repeat(np.arange(rows), np.diff(offs))
-            grid = np.bincount(doc * PIVOTS + (ids_np & (PIVOTS - 1)), weights=cnt_np, minlength=rows * PIVOTS)
-            packed = np.minimum(grid, 255).astype(np.uint8).reshape(rows, PIVOTS).view(np.int64)
+            ids_np, cnt_np = np.array(ids, dtype=np.int32), np.array(cnt, dtype=np.int64)
             yield pa.RecordBatch.from_arrays(
                 [b.column(i) for i in range(len(id_cols))]
                 + [pa.array(n_chars, pa.int32()), pa.array(n_words, pa.int32()), pa.array(n_long, pa.int32()), pa.array(norm, pa.int64())]
-                + [pa.ListArray.from_arrays(o, pa.array(ids_np)), pa.ListArray.from_arrays(o, pa.array(np.minimum(cnt_np, 32000).astype(np.int16)))]
-                + [pa.StructArray.from_arrays([pa.array(np.ascontiguousarray(packed[:, i])) for i in range(PIVOTS // 8)], names=[f"p{i}" for i in range(PIVOTS // 8)])],
-                names=[*id_cols, "n_chars", "n_words", "n_long", "norm", "words", "counts", "pivots"],
+                + [pa.ListArray.from_arrays(o, pa.array(ids_np)), pa.ListArray.from_arrays(o, pa.array(np.minimum(cnt_np, 32000).astype(np.int16)))],
+                names=[*id_cols, "n_chars", "n_words", "n_long", "norm", "words", "counts"],
             )
 
     return documents.select(*id_cols, "text").mapInArrow(run, out_schema)
