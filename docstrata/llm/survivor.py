@@ -8,7 +8,9 @@ Values: a latent two-sided truth model.  Every value that some record of a group
 fact; each record's source either asserts the fact or, having a usable value of its own, denies it.  EM
 alternates between the posterior of each fact and each source's sensitivity (share of true facts it
 asserts) and specificity (share of false facts it denies), with a prior by form: well-formed values are
-believed, placeholders, blanks, cut-off values and technical residue are not.  Several values of one field
+believed (``PRIOR``), placeholders, blanks, cut-off values and technical residue are not.  A source counts once
+per fact, however many records it has, and the evidence of the sources is summed up: a value that one source
+states and many reliable ones contradict is given up, also if it is the latest.  Several values of one field
 may be judged true and are all kept (``values_judged``); the surviving record takes, among them, the value
 of the record modified last.
 
@@ -22,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docstrata.llm.features import checksum_members, profiles
-from docstrata.sources.tables import cut
+from docstrata.sources.tables import bounded_broadcast, cut
 
 # Folders that only collect, as catalogues name them.
 CATCH_ALL = [
@@ -33,7 +35,9 @@ PLACEHOLDER_TITLE = r"(?i)^(?:unknown|untitled(?: document)?|document|no title|n
 RESIDUE_TITLE = r"(?i)^[A-Z0-9]{8}_|^microsoft (?:word|powerpoint|excel) - |~\d+$|\.(?:pdf|docx?|pptx?|xlsx?|epub|html?|txt|indd|qxd|dvi)$|_x000d_|&[a-z]+;"
 CUT_OFF = r"(?:…|\.\.\.)\s*$"
 ITERATIONS = 4
-BELIEVED = 0.05  # a well-formed value is given up only below this posterior
+PRIOR = 0.98  # of a well-formed value: of several, the project takes the latest unless sources speak against it
+BELIEVED = 0.5
+MAX_SOURCES = 100_000
 
 
 def usable(field: Column, value: Column, first_year: int = 1950, last_year: int = 2026) -> Column:
@@ -85,26 +89,27 @@ def values_judged(documents: DataFrame) -> DataFrame:
     long = rec.select("group_doc_id", "doc_id", "src", F.coalesce("mtime", F.lit(0)).alias("mtime"), F.explode(F.create_map(*[x for c in ("title", "topic", "year") for x in (F.lit(c), F.col(c).cast("string"))])).alias("field", "value"))
     long = cut(long.filter("value is not null").withColumn("usable", usable(F.col("field"), F.col("value"))))
     facts = long.groupBy("group_doc_id", "field", "value").agg(F.first("usable").alias("usable"), F.max(F.struct("mtime", (-F.col("doc_id")).alias("neg"))).alias("last"))
-    # per group and field how often each source speaks at all, and how often it asserts the value
-    speaks = long.filter("usable").groupBy("group_doc_id", "field", "src").agg(F.count(F.lit(1)).alias("n"))
-    says = long.groupBy("group_doc_id", "field", "value", "src").agg(F.count(F.lit(1)).alias("yes"))
-    votes = facts.select("group_doc_id", "field", "value", "usable").join(speaks, ["group_doc_id", "field"]).join(says, ["group_doc_id", "field", "value", "src"], "left")
-    only = says.join(speaks, ["group_doc_id", "field", "src"], "left_anti").join(facts.select("group_doc_id", "field", "value", "usable"), ["group_doc_id", "field", "value"])
-    votes = votes.select("group_doc_id", "field", "value", "usable", "src", F.coalesce("yes", F.lit(0)).alias("yes"), (F.greatest(F.col("n"), F.coalesce("yes", F.lit(0))) - F.coalesce("yes", F.lit(0))).alias("no"))
-    votes = cut(votes.unionByName(only.select("group_doc_id", "field", "value", "usable", "src", "yes", F.lit(0).cast("bigint").alias("no"))))
-    prior = F.when(F.col("usable"), F.lit(0.9)).otherwise(F.lit(0.02))
-    post = votes.select("group_doc_id", "field", "value", "usable").distinct().withColumn("p", prior)
+    # a source votes once on each fact of a group and field it speaks about: yes if any of its records has the value
+    speaks = long.filter("usable").select("group_doc_id", "field", "src").distinct()
+    says = long.select("group_doc_id", "field", "value", "src").distinct().withColumn("yes", F.lit(True))
+    about = facts.select("group_doc_id", "field", "value", "usable").join(speaks, ["group_doc_id", "field"])
+    own = says.join(facts.select("group_doc_id", "field", "value", "usable"), ["group_doc_id", "field", "value"])
+    votes = about.withColumn("yes", F.lit(False)).unionByName(own.select(*about.columns, "yes")).groupBy(*about.columns).agg(F.bool_or("yes").alias("yes"))
+    votes = cut(votes)
+    prior = F.when(F.col("usable"), F.lit(PRIOR)).otherwise(F.lit(0.02))
+    fact = ["group_doc_id", "field", "value"]
+    post = votes.select(*fact, "usable").distinct().withColumn("p", prior)
     for _ in range(ITERATIONS):
         # M: expected counts per source and field with Beta(8,2) / Beta(9,1) priors; one row per source and field
-        counts = votes.join(post.select("group_doc_id", "field", "value", "p"), ["group_doc_id", "field", "value"]).groupBy("field", "src").agg(
-            F.sum(F.col("p") * F.col("yes")).alias("tp"), F.sum(F.col("p") * F.col("no")).alias("fn"), F.sum((1 - F.col("p")) * F.col("yes")).alias("fp"), F.sum((1 - F.col("p")) * F.col("no")).alias("tn")
+        p, yes = F.col("p"), F.col("yes").cast("double")
+        counts = votes.join(post.select(*fact, "p"), fact).groupBy("field", "src").agg(
+            F.sum(p * yes).alias("tp"), F.sum(p * (1 - yes)).alias("fn"), F.sum((1 - p) * yes).alias("fp"), F.sum((1 - p) * (1 - yes)).alias("tn")
         )
-        quality = counts.select("field", "src", ((F.col("tp") + 8) / (F.col("tp") + F.col("fn") + 10)).alias("sens"), ((F.col("tn") + 9) / (F.col("tn") + F.col("fp") + 10)).alias("spec"))
-        # E: log odds of each fact; the evidence of many records of one source is damped to its mean direction
-        odds = F.col("yes") * F.log(F.col("sens") / (1 - F.col("spec"))) + F.col("no") * F.log((1 - F.col("sens")) / F.col("spec"))
-        ll = votes.join(quality, ["field", "src"]).groupBy("group_doc_id", "field", "value", "usable").agg(F.sum(odds).alias("ll"), F.sum(F.col("yes") + F.col("no")).alias("n"))
-        logit = F.log(prior / (1 - prior)) + F.col("ll") / F.col("n")
-        post = cut(ll.select("group_doc_id", "field", "value", "usable", (1 / (1 + F.exp(-logit))).alias("p")))
+        quality = cut(counts.select("field", "src", ((F.col("tp") + 8) / (F.col("tp") + F.col("fn") + 10)).alias("sens"), ((F.col("tn") + 9) / (F.col("tn") + F.col("fp") + 10)).alias("spec")))
+        # E: log odds of each fact
+        odds = F.when(F.col("yes"), F.log(F.col("sens") / (1 - F.col("spec")))).otherwise(F.log((1 - F.col("sens")) / F.col("spec")))
+        ll = votes.join(bounded_broadcast(quality, quality.count(), MAX_SOURCES), ["field", "src"]).groupBy(*fact, "usable").agg(F.sum(odds).alias("ll"))
+        post = cut(ll.select(*fact, "usable", (1 / (1 + F.exp(-(F.log(prior / (1 - prior)) + F.col("ll"))))).alias("p")))
     judged = facts.join(post.select("group_doc_id", "field", "value", "p"), ["group_doc_id", "field", "value"])
     return judged.select("group_doc_id", "field", "value", "usable", F.round("p", 6).alias("posterior"), "last", (F.col("usable") & (F.col("p") >= BELIEVED)).alias("kept"))
 
