@@ -26,7 +26,7 @@ def p2_values(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _subjects(spark: SparkSession, d: str) -> DataFrame:
-    return subjects.document_subjects(*(table(spark, d, t) for t in ("documents", "auto_topics", "labels", "subjects")))
+    return subjects.document_subjects(*(table(spark, d, t) for t in ("documents", "auto_topics", "subjects")))
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:

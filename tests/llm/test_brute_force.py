@@ -56,20 +56,77 @@ def test_repeats_against_all_pairs(t):
     assert len(found & expected) >= 0.95 * len(expected) and not found - expected
 
 
-def test_repeats_in_hot_group_with_own_words(spark):
-    """Near copies of one text, more than a word may have to be particular, each with several words of its own."""
+def made_texts(group, own, others=300, seed=4):
+    """(key, text): a group of near copies of one body, each with words of its own, and unrelated texts of the same vocabulary."""
     import random
 
-    rng = random.Random(4)
+    rng = random.Random(seed)
     made = lambda k: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=k))
-    body, accidental = [made(8) for _ in range(100)], [made(9) for _ in range(80)]
-    texts = [(f"n{i:03d}", " ".join(body + [made(9) for _ in range(5)] + rng.sample(accidental, 3))) for i in range(120)]
-    texts += [(f"o{i:03d}", " ".join([made(8) for _ in range(90)] + rng.sample(accidental, 3))) for i in range(180)]
+    vocabulary, usual = [made(rng.randrange(4, 10)) for _ in range(3000)], [made(rng.randrange(2, 8)) for _ in range(200)]
+    body = [made(7) for _ in range(70)] + rng.choices(usual, k=70)
+    texts = []
+    for i in range(group):
+        x = list(body)
+        for _ in range(own):
+            x[rng.randrange(len(x))] = made(9)
+        texts.append((f"a{i:06d}", " ".join(x)))
+    return texts + [(f"b{i:06d}", " ".join(rng.choices(vocabulary, k=60) + rng.choices(usual, k=70))) for i in range(others)]
+
+
+def repeats(spark, texts, days=9):
     documents = spark.createDataFrame(texts, "item_key string, text string")
-    docs = spark.createDataFrame([(k, f"2026-01-{1 + i % 9:02d}", None) for i, (k, _) in enumerate(texts)], "item_key string, first_seen string, text_hash string")
+    docs = spark.createDataFrame([(k, f"2026-01-{1 + i % days:02d}", None) for i, (k, _) in enumerate(texts)], "item_key string, first_seen string, text_hash string")
     none = spark.createDataFrame([], "text_hash string, item_key string, md5 string")
-    got = {r.item_key for r in history.repeated_rows(docs, documents, none.select("text_hash"), none.select("item_key", "md5")).collect()}
-    assert got == {f"n{i:03d}" for i in range(1, 120)}
+    return {r.item_key for r in history.repeated_rows(docs, documents, none.select("text_hash"), none.select("item_key", "md5")).collect()}
+
+
+@pytest.mark.parametrize("group, own", [(30, 1), (60, 1), (60, 12), (500, 10), (5000, 8)])
+def test_repeats_in_groups_of_any_size(spark, group, own):
+    """Near copies are found in small and in hot groups, whatever words of their own they have; nothing else is."""
+    found = repeats(spark, made_texts(group, own))
+    assert not {k for k in found if k[0] == "b"}
+    assert len(found) >= 0.99 * (group - 1)
+
+
+def test_window_bands_against_all_pairs(spark):
+    """Pairs that only bands can find, from few changes to the bound: as many as stated."""
+    import random
+
+    rng = random.Random(7)
+    usual = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=6)) for _ in range(400)]
+    for share, least in ((0.05, 1.0), (0.10, 0.99), (0.15, 0.97)):
+        texts = []
+        for i in range(150):
+            x = rng.choices(usual, k=200)
+            y = list(x)
+            for j in rng.sample(range(200), int(200 * share)):
+                y[j] = rng.choice(usual)
+            texts += [(f"{i:04d}a", " ".join(x)), (f"{i:04d}b", " ".join(y))]
+        want = {b for (a, x), (b, y) in zip(texts[::2], texts[1::2], strict=True) if near(words(x), words(y))}
+        got = repeats(spark, texts, days=1)
+        assert len(got & want) >= least * len(want) and not got - want
+
+
+def test_batches_go_into_a_table(spark, tmp_path):
+    """Batch by batch gives what all at once gives; a later batch reads its own texts and the table, no earlier text."""
+    texts = dict(made_texts(60, 6, 60) + [("c1", "one text alone " * 20), ("c2", "One  text alone " * 20)])
+    day = {k: f"2026-01-{1 + i % 4:02d}" for i, k in enumerate(sorted(texts))} | {"c1": "2026-01-01", "c2": "2026-01-04"}
+    table = lambda keys: spark.createDataFrame([(k, texts[k]) for k in keys], "item_key string, text string")
+    rows = lambda keys: spark.createDataFrame([(k, day[k]) for k in keys], "k string, d string").select("k", F.to_date("d").alias("day"))
+    at_once = {(r.key, r.reason) for r in history.accept(rows(texts), table(texts), history.PivotTable(spark, str(tmp_path / "one")), "all")[0].collect()}
+    t, found = history.PivotTable(spark, str(tmp_path / "more")), set()
+    for d in sorted(set(day.values())):
+        mine = [k for k in texts if day[k] == d]
+        repeated, _, new = history.accept(rows(mine), table(texts), t, d)
+        found |= {(r.key, r.reason) for r in repeated.collect()}
+        if d != "2026-01-01":
+            # the signatures of the batch are made of its own texts alone
+            assert {r.k for r in new.select("k").collect()} <= set(mine)
+    assert found == at_once and ("c2", "same text") in found
+    # a batch run again replaces itself
+    again = history.accept(rows(mine), table(texts), t, d)[0]
+    assert {(r.key, r.reason) for r in again.collect()} == {x for x in found if day[x[0]] == d}
+    assert t.rows().count() == t.rows().select("k").distinct().count()
 
 
 def test_batch_by_batch_equals_all_at_once(t):
@@ -77,7 +134,7 @@ def test_batch_by_batch_equals_all_at_once(t):
     last = t("docs").agg(F.max("first_seen")).first()[0]
     before = {r.item_key for r in history.repeated_rows(t("docs").filter(F.col("first_seen") < last), t("documents"), t("claims_done").limit(0), t("fulltext_md")).filter("reason <> 'same file'").collect()}
     earlier = {r.item_key for r in t("docs").filter(F.col("first_seen") < last).select("item_key").collect()}
-    assert len(before ^ {k for k in everything if k in earlier}) <= 1
+    assert before == {k for k in everything if k in earlier}
 
 
 def test_survivors(spark):
@@ -95,6 +152,23 @@ def test_survivors(spark):
     assert got == {(1, "title"): "Newer title", (1, "topic"): "Solar", (1, "year"): "2003"}
 
 
+def test_sources_can_veto_the_latest_value(spark):
+    """The latest usable value stands against a few other sources, but not where a dozen agree on another one."""
+    body = "Many particular words about solar turbines and generators standing beside the harbour of Korvelund. " * 5
+    rows = []
+    for g, n in ((1, 3), (2, 24)):
+        for i in range(n):
+            key, first = f"G{g}R{i:02d}", f"G{g}R00"
+            year = "1999" if i == n - 1 else "2005"
+            rows.append((g * 100 + i, key, "A title", body, f"source {i}", None, None if i == 0 else first, "Solar", year, 1000 + i))
+    # elsewhere these sources agree with each other
+    for g in range(10, 40):
+        rows += [(g * 100 + i, f"G{g}R{i:02d}", "A title", body, f"source {i}", None, None if i == 0 else f"G{g}R00", "Solar", "2001", 1000) for i in range(24)]
+    d = spark.createDataFrame(rows, "doc_id bigint, item_key string, title string, text string, source string, md5 string, duplicate_of string, topic string, year string, mtime bigint")
+    got = {(r.group_doc_id, r.field): r.best for r in survivor.best_values(survivor.values_judged(d)).collect()}
+    assert got[100, "year"] == "1999" and got[200, "year"] == "2005"
+
+
 def test_components(spark):
     edges = spark.createDataFrame([(i + 1, i) for i in range(1, 40)] + [(100, 101)], "a bigint, b bigint")
     got = {r.node: r.root for r in survivor.components(edges).collect()}
@@ -172,6 +246,31 @@ def test_leak_with_changed_names(spark):
     assert [(r.doc_id, r.item_id) for r in got] == [(0, 1)]
 
 
+def test_leak_without_names(spark):
+    """A passage of plain lower-case words copied whole is found; its wording as a phrase in many texts is none."""
+    passage = "whoever waters the garden early in the morning saves half of the water because the soil is still cool and the leaves dry slowly while the roots drink what they need before noon comes around again"
+    items = spark.createDataFrame([(1, f"Read this.\n\n{passage}\n\nWhich is true?")], "item_id bigint, text string")
+    filler = "Some unrelated lines about gates and roads that nobody needs to read twice. " * 4
+    phrase = " ".join(passage.split()[:9])
+    docs = spark.createDataFrame(list(enumerate([filler + passage + " " + filler, passage.capitalize() + ". " + filler] + [filler + phrase + " and " + filler] * 30)), "doc_id bigint, text string")
+    assert {(r.doc_id, r.kind) for r in leaks.leaked_items(docs, items).collect()} == {(0, "verbatim"), (1, "verbatim")}
+
+
+def test_leak_filter_and_runs():
+    import numpy as np
+
+    h = np.array([5, 1 << 40, 2**63 + 7], dtype=np.uint64)
+    bits = np.zeros(1 << leaks.FILTER_BITS - 6, dtype=np.uint64)
+    mask = (1 << leaks.FILTER_BITS) - 1
+    for x in h.tolist():
+        for bit in (x & mask, x >> leaks.FILTER_BITS & mask):
+            bits[bit >> 6] |= np.uint64(1 << (bit & 63))
+    assert leaks.may_have(bits, h).all() and not leaks.may_have(bits, h + np.uint64(1)).any()
+    words = np.arange(40)
+    assert leaks.runs(words, words, words == 3, [0]) == (40, 0, 0)
+    assert leaks.runs(words, words, words < 0, [0]) == (0, 0, 40)
+
+
 def test_mix_reaches_shares(spark, t):
     r = mixing.mix_report(t("documents"), t("mix_targets")).collect()
     assert all(x.repeats_used <= x.max_repeats for x in r)
@@ -193,11 +292,19 @@ def test_mix_prefix_sums_over_buckets(spark, monkeypatch):
     assert abs(n - 1850) <= 1
 
 
+def test_votes_decide_where_the_lexicon_cannot():
+    """With few topical words the other functions decide; with many they do not, and silence is no evidence."""
+    sure = [((8, 1, 1, 1, 1), 900), ((-8, 0, 0, 0, 2), 9000), ((8, 0, 0, 0, 0), 100), ((-8, 1, 0, 0, 0), 50)]
+    post = subjects.fit_votes([*sure, ((-1, 1, 1, 1, 1), 5), ((-1, 0, 0, 0, 0), 5), ((1, 0, 0, 0, 0), 5)])
+    assert post[-1, 1, 1, 1, 1] > 0.9 and post[-1, 0, 0, 0, 0] < 0.5 < post[1, 0, 0, 0, 0]
+    assert post[8, 0, 0, 0, 0] > 0.99 and post[-8, 1, 0, 0, 0] < 0.5
+
+
 def test_subjects_and_levels_on_labels(spark):
-    """Accuracy on labels; levels on labels held out from the fit."""
+    """Subjects on labels, which the operator does not read; levels on labels held out from the fit."""
     t = lambda n: spark.read.parquet(f"/root/testdata/sf0.1/{n}.parquet")
     labels = t("labels").collect()
-    got = {(r.doc_id, r.subject) for r in subjects.document_subjects(t("documents"), t("auto_topics"), t("labels"), t("subjects")).collect()}
+    got = {(r.doc_id, r.subject) for r in subjects.document_subjects(t("documents"), t("auto_topics"), t("subjects")).collect()}
     want = {(r.doc_id, r.subject) for r in labels}
     mine = {x for x in got if x[0] in {d for d, _ in want}}
     assert len(mine & want) >= 0.97 * len(want) and len(mine - want) <= 0.03 * len(want)

@@ -10,7 +10,7 @@ NAMES = ["documents", "docs", "claims_done", "fulltext_md", "auto_topics", "labe
 OPERATORS = {
     "p1": lambda t: history.repeated_rows(t["docs"], t["documents"], t["claims_done"], t["fulltext_md"]),
     "p2": lambda t: survivor.best_values(survivor.values_judged(t["documents"])),
-    "p3": lambda t: subjects.document_subjects(t["documents"], t["auto_topics"], t["labels"], t["subjects"]).select("doc_id", "subject"),
+    "p3": lambda t: subjects.document_subjects(t["documents"], t["auto_topics"], t["subjects"]).select("doc_id", "subject"),
     "p4": lambda t: clusters.cluster_pairs(clusters.similarity_clusters(t["documents"])),
     "p4d": lambda t: clusters.describe_clusters(clusters.similarity_clusters(t["documents"])),
     "p6": lambda t: leaks.leaked_items(t["documents"], t["eval_items"]),
