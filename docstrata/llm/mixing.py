@@ -1,8 +1,9 @@
 """Mixing sources to target token shares by systematic sampling.
 
-The total is the largest for which every source reaches its share within its cap on repeats:
-T = min over sources of tokens * max_repeats / share.  A document of source s is then expected
-r = T * share / tokens times.  Within each source, expected copies are summed up along a hash order, one
+The total is a parameter.  Where none is given it is the largest for which every source reaches its share
+within its cap on repeats: T = min over sources of tokens * max_repeats / share.  With a larger one, sources
+that cannot reach their share give max_repeats copies of all they have, and the report tells the tokens they
+are short of.  A document of source s is expected r = T * share / tokens times, at most max_repeats.  Within each source, expected copies are summed up along a hash order, one
 random offset per source is added, and a document is emitted once for each integer boundary that its
 interval crosses, so it is emitted floor(r) or ceil(r) <= max_repeats times.
 
@@ -24,6 +25,7 @@ import os
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -42,12 +44,13 @@ def clean_source(source: Column) -> Column:
 
 
 def token_counts(documents: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
-    """doc_id, source, n_tokens: whole texts under the public tokenizer whose file is named."""
+    """doc_id, source, n_tokens: whole texts under the public tokenizer whose file is named; the file is sent to the tasks."""
+    documents.sparkSession.sparkContext.addFile(tokenizer)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import tiktoken
 
-        with open(tokenizer, "rb") as f:
+        with open(SparkFiles.get(os.path.basename(tokenizer)), "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         enc = tiktoken.Encoding("public", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
         for b in batches:
@@ -58,8 +61,8 @@ def token_counts(documents: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
     return named.mapInArrow(run, "doc_id bigint, source string, n_tokens bigint").dropDuplicates(["doc_id"])
 
 
-def mix_rates(counts: DataFrame, targets: DataFrame) -> DataFrame:
-    """source, target_share, max_repeats, n_docs, n_tokens, rate: one row per target, expected copies of a document."""
+def mix_rates(counts: DataFrame, targets: DataFrame, total_tokens: float | None = None) -> DataFrame:
+    """source, target_share, max_repeats, n_docs, n_tokens, rate, short: one row per target, expected copies of a document, tokens it lacks."""
     t = targets.filter("source is not null and target_share > 0").groupBy(clean_source(F.col("source")).alias("source")).agg(
         F.sum("target_share").alias("target_share"), F.max(F.coalesce("max_repeats", F.lit(1))).alias("max_repeats")
     )
@@ -67,8 +70,11 @@ def mix_rates(counts: DataFrame, targets: DataFrame) -> DataFrame:
     t = t.join(sizes, "source", "left").withColumns({"n_docs": F.coalesce("n_docs", F.lit(0)), "n_tokens": F.coalesce("n_tokens", F.lit(0))})
     able = (F.col("n_tokens") > 0) & (F.col("max_repeats") >= 1)
     total = t.filter(able).agg(F.min(F.col("n_tokens") * F.col("max_repeats") / F.col("target_share")).alias("total"))
+    if total_tokens is not None:
+        total = total.select(F.lit(float(total_tokens)).alias("total"))
     rate = F.when(able, F.least(F.col("total") * F.col("target_share") / F.col("n_tokens"), F.col("max_repeats").cast("double"))).otherwise(F.lit(0.0))
-    return t.join(F.broadcast(total)).withColumn("rate", rate).drop("total")
+    short = F.greatest(F.col("total") * F.col("target_share") - F.col("rate") * F.col("n_tokens"), F.lit(0.0))
+    return t.join(F.broadcast(total)).withColumn("rate", rate).withColumn("short", F.coalesce(F.round(short), F.lit(0.0)).cast("bigint")).drop("total")
 
 
 def systematic_copies(counts: DataFrame, rates: DataFrame, seed: int = SEED) -> DataFrame:
@@ -77,35 +83,35 @@ def systematic_copies(counts: DataFrame, rates: DataFrame, seed: int = SEED) ->
     buckets = max(1, counts.count() // ROWS_PER_BUCKET)
     order = F.xxhash64(F.lit(seed), "doc_id")
     docs = docs.withColumns({"order": order, "bucket": F.pmod(F.shiftright(order, 16), F.lit(buckets))})
-    sums = docs.groupBy("source", "bucket").agg(F.sum("rate").alias("sum"))
-    # one row per source and bucket
-    starts = sums.withColumn("start", F.coalesce(F.sum("sum").over(Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))).select("source", "bucket", "start")
+    sums = docs.groupBy("source", "bucket").agg(F.count(F.lit(1)).alias("n"))
+    # one row per source and bucket; rows before the bucket, so that its start and its rows' places are one product
+    starts = sums.withColumn("before", F.coalesce(F.sum("n").over(Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("source", "bucket", "before")
     w = Window.partitionBy("source", "bucket").orderBy("order", "doc_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     offset = F.pmod(F.xxhash64(F.lit(seed + 1), "source"), F.lit(1 << 20)) / F.lit(float(1 << 20))
-    upper = F.round(F.col("start") + F.count(F.lit(1)).over(w) * F.col("rate") + offset, 9)
-    lower = F.round(F.col("start") + (F.count(F.lit(1)).over(w) - 1) * F.col("rate") + offset, 9)
-    copies = (F.floor(upper) - F.floor(lower)).cast("int")
+    place = F.col("before") + F.count(F.lit(1)).over(w)
+    upper, lower = (F.floor(F.round(x * F.col("rate") + offset, 9)) for x in (place, place - 1))
+    copies = (upper - lower).cast("int")
     return docs.join(starts, ["source", "bucket"]).withColumn("copies", copies).filter("copies > 0").select("doc_id", "source", "n_tokens", "copies")
 
 
-def mixed_documents(documents: DataFrame, targets: DataFrame) -> DataFrame:
+def mixed_documents(documents: DataFrame, targets: DataFrame, total_tokens: float | None = None) -> DataFrame:
     """doc_id, source, n_tokens, copies: the training mix."""
     counts = cut(token_counts(documents))
-    return systematic_copies(counts, cut(mix_rates(counts, targets)))
+    return systematic_copies(counts, cut(mix_rates(counts, targets, total_tokens)))
 
 
-def mix_report(documents: DataFrame, targets: DataFrame) -> DataFrame:
+def mix_report(documents: DataFrame, targets: DataFrame, total_tokens: float | None = None) -> DataFrame:
     """Per target source: shares wanted and reached, tokens and documents in and out, repeats allowed and used."""
     counts = cut(token_counts(documents))
-    rates = cut(mix_rates(counts, targets))
+    rates = cut(mix_rates(counts, targets, total_tokens))
     chosen = systematic_copies(counts, rates).groupBy("source").agg(
         F.count(F.lit(1)).alias("docs_chosen"), F.sum(F.col("n_tokens") * F.col("copies")).alias("tokens_out"), F.max("copies").alias("repeats_used")
     )
     out = rates.join(chosen, "source", "left").select(
-        "source", "target_share", "max_repeats", "n_docs", "n_tokens", "rate", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("docs_chosen", "tokens_out", "repeats_used")]
+        "source", "target_share", "max_repeats", "n_docs", "n_tokens", "rate", "short", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("docs_chosen", "tokens_out", "repeats_used")]
     )
     total = out.agg(F.sum("tokens_out").alias("all_out"), F.sum("target_share").alias("all_share"))
     return out.join(F.broadcast(total)).select(
-        "source", "n_docs", "n_tokens", "max_repeats", F.round("rate", 6).alias("expected_copies"), "docs_chosen", "tokens_out", "repeats_used",
+        "source", "n_docs", "n_tokens", "max_repeats", F.round("rate", 6).alias("expected_copies"), "docs_chosen", "tokens_out", "repeats_used", "short",
         F.round(F.col("target_share") / F.col("all_share"), 6).alias("target_share"), F.round(F.col("tokens_out") / F.greatest("all_out", F.lit(1)), 6).alias("actual_share"),
     )

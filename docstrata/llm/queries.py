@@ -71,7 +71,9 @@ def p8_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p8_profile(spark: SparkSession, d: str) -> DataFrame:
-    return p8_found(spark, d).groupBy("reading_level").agg(F.count(F.lit(1)).alias("n_docs"))
+    """How demanding the corpus is: documents of each level, with what the formula measures."""
+    g = readlevel.graded(table(spark, d, "documents"), table(spark, d, "labels")).groupBy("reading_level")
+    return g.agg(F.count(F.lit(1)).alias("n_docs"), F.round(F.avg("unfamiliar"), 4).alias("unfamiliar_share"), F.round(F.avg("sentence"), 2).alias("words_per_sentence"))
 
 
 def queries() -> dict:
