@@ -27,19 +27,26 @@ UNCATEGORIZED_FOLDERS = [
 # File types that are imported, and top folders whose files are known already.
 IMPORT_EXTENSIONS = ["pdf", "doc", "docx", "ppt", "pptx", "epub", "djvu", "mobi", "chm", "ris"]
 COVERED_FOLDERS = ["xlsx", "excel", "word", "pptx", "docx", "pdf"]
-# Title categories in order of precedence, each with some of its phrases; pass a longer list as parameter.
+# Title categories in order of precedence, each with its leading phrases; ``title_categories`` reads a longer list.
 TITLE_CATEGORIES = [
-    ("IT / Software / Computer Science", ["software engineering", "computer science", "algorithm", "database", "programming", "machine learning", "sql", "compiler", "query planners", "microservices"]),
-    ("Finance / Investing / Markets", ["stock market", "equity", "portfolio", "investment", "mutual fund", "derivatives", "interest rate", "loans", "banks", "bills"]),
-    ("Energy (power, fuel, batteries)", ["battery", "batteries", "hydrogen", "wind energy", "power grid", "power plant", "power plants", "solar panels", "wind turbines", "wires"]),
-    ("Automotive & EVs", ["automotive", "electric vehicle", "automobile", "car design", "cars"]),
-    ("Medical / Healthcare", ["medical", "clinical", "patient", "patients", "hospital", "vaccine", "pills", "germs"]),
-    ("Agriculture", ["agriculture", "farming", "irrigation", "livestock", "crop rotations", "cows", "seed drills"]),
-    ("Chemistry / Materials Science", ["polymer", "catalysis", "materials science", "acids", "salts", "isomers", "test tubes"]),
-    ("Law / Legal", ["supreme court", "high court", "statute", "case law", "litigation", "courts", "rules"]),
-    ("Sports / Cricket", ["cricket", "test match", "swimmers", "penalty shoot-outs", "players", "fans"]),
-    ("Environment / Climate", ["climate change", "carbon emission", "biodiversity", "carbon sinks", "glaciers", "summers"]),
-    ("Business, tender & corporate documents", ["tender", "brochure", "annual report", "purchase order"]),
+    ("IT / Software / Computer Science", ["software engineering", "computer science", "algorithm", "algorithms", "database", "databases", "programming", "kubernetes", "docker", "devops", "microservices", "machine learning", "sql", "compiler", "python"]),
+    ("Finance / Investing / Markets", ["stock market", "equity", "equities", "portfolio", "investment", "investing", "valuation", "mutual fund", "derivatives", "banking", "dividend", "interest rate"]),
+    ("Energy (power, fuel, batteries)", ["battery", "batteries", "hydrogen", "ethanol", "biofuel", "solar energy", "solar power", "wind energy", "power grid", "energy storage", "power plant"]),
+    ("Automotive & EVs", ["automotive", "electric vehicle", "electric vehicles", "automobile", "car design"]),
+    ("Aviation & Aerospace", ["aviation", "aircraft", "aerospace", "airline", "airport"]),
+    ("Medical / Healthcare", ["medical", "healthcare", "clinical", "patient", "disease", "hospital", "vaccine", "diagnosis", "therapy"]),
+    ("India Trade / Economic Policy", ["trade policy", "export", "import", "tariff", "economic survey", "fiscal deficit", "gst"]),
+    ("Agriculture", ["agriculture", "agricultural", "farming", "farmer", "irrigation", "fertilizer", "livestock"]),
+    ("Education / Exams", ["cbse", "syllabus", "question paper", "curriculum", "entrance exam"]),
+    ("Chemistry / Materials Science", ["chemical engineering", "polymer", "catalysis", "materials science", "organic chemistry"]),
+    ("Government / Policy / Regulation", ["ministry of", "gazette", "government scheme", "regulatory framework", "parliament"]),
+    ("Law / Legal", ["supreme court", "high court", "statute", "contract law", "arbitration", "litigation", "case law"]),
+    ("Engineering (general)", ["mechanical engineering", "electrical engineering", "civil engineering", "thermodynamics", "robotics"]),
+    ("Sports / Cricket", ["cricket", "test match", "batting average", "bowling figures"]),
+    ("Environment / Climate", ["climate change", "carbon emission", "carbon footprint", "biodiversity", "net zero"]),
+    ("Personal & administrative documents", ["resume", "curriculum vitae", "cover letter", "bank statement", "invoice", "receipt", "screenshot"]),
+    ("Business, tender & corporate documents", ["tender", "brochure", "press release", "purchase order", "annual report"]),
+    ("Reference material (Wikipedia / how-to)", ["wikipedia", "buying guide", "user guide", "how to"]),
     ("Reports & presentations (general)", ["report", "presentation", "overview", "whitepaper", "white paper"]),
 ]
 UNCLASSIFIED = "Other / Unclassified"
@@ -51,12 +58,28 @@ STOP_WORDS = (
 ).split()
 
 
+@dataclass(frozen=True)
+class Limits:
+    """From what size on the cluster reports speak of growth, age, writing and reading."""
+
+    with_year: int = 10
+    pct_recent: float = 35
+    stale_year: int = 2018
+    n_own: int = 15
+    own_ratio: float = 2
+    n_docs: int = 60
+
+
+SMALL_CORPUS = Limits(with_year=3, pct_recent=10, n_own=1, own_ratio=0.1, n_docs=20)
+
+
 @dataclass(frozen=True)
 class Config:
     as_of: date = date(2026, 8, 1)
     personal_keywords: tuple[str, ...] = ()
     privacy_names: tuple[str, ...] = ()
     own_paths: tuple[str, ...] = ("laptop_backup", "home-backup", "gh-clones", "Machine_Backup")
+    own_markers: tuple[str, ...] = ("daily scan report",)
     private_folders: tuple[str, ...] = ("cv", "Documents", "Attachments", "all unorganised files")
     categories: tuple = field(default_factory=lambda: tuple((n, tuple(p)) for n, p in TITLE_CATEGORIES))
 
@@ -71,3 +94,15 @@ def config_list(key: str, env: str | None = None, toml: Path | None = None) -> l
     else:
         raw = []
     return [x.strip() for x in raw if x.strip()]
+
+
+def title_categories(toml: Path) -> list[tuple[str, list[str]]]:
+    """Categories and their phrases from a file with one list of phrases per category, in order of precedence."""
+    return [(name, [p.strip() for p in phrases if p.strip()]) for name, phrases in tomllib.loads(toml.read_text()).items()]
+
+
+def configured(toml: Path | None = None) -> Config:
+    """Parameters with the owner's lists from the environment (DOCSTRATA_<NAME>, split at commas) or the file, where set."""
+    names = ("personal_keywords", "privacy_names", "own_paths", "own_markers", "private_folders")
+    got = {n: tuple(config_list(n, f"DOCSTRATA_{n.upper()}", toml)) for n in names}
+    return Config(**{n: v for n, v in got.items() if v})

@@ -61,6 +61,13 @@ def extension(path: Column, default: str = "unknown") -> Column:
     return F.when(ext == "", default).otherwise(ext)
 
 
+def suffix(path: Column, default: str = "unknown") -> Column:
+    """Lower-case suffix of the last path part as listings name it: an archive's inside is not told apart, dots in front count."""
+    name = F.element_at(F.split(F.coalesce(path, F.lit("")), "/", -1), -1)
+    ext = F.lower(F.regexp_extract(name, r"^.+\.([^.]+)$", 1))
+    return F.when(ext == "", default).otherwise(ext)
+
+
 def derived_tags(path: Column, mtime: Column, source: Column, personal: Sequence[str] = ()) -> Column:
     year = mtime_year(mtime)
     return F.array_compact(
@@ -143,7 +150,7 @@ def catalogue_year(year: Column, as_of_year: int) -> Column:
 
 def latest_year_named(text: Column, as_of_year: int) -> Column:
     """Largest year from 1950 to ``as_of_year`` that stands alone in the text."""
-    years = F.transform(F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(r"\b(19[5-9][0-9]|20[0-2][0-9])\b"), F.lit(1)), lambda y: y.cast("int"))
+    years = F.transform(F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(r"(?<![\p{L}\p{M}\p{N}_])(19[5-9][0-9]|20[0-2][0-9])(?![\p{L}\p{M}\p{N}_])"), F.lit(1)), lambda y: y.cast("int"))
     return F.array_max(F.filter(years, lambda y: y <= as_of_year))
 
 
@@ -156,22 +163,33 @@ def clean_title(title: Column) -> Column:
     return F.regexp_replace(F.coalesce(title, F.lit("")), "^[A-Z0-9]{8}_", "")
 
 
-# Fixed patterns of documents that must not surface.
-SENSITIVE_TEXT = (
-    r"(?i)\b[A-Z]{5}[0-9]{4}[A-Z]\b|\b[0-9]{4}\s[0-9]{4}\s[0-9]{4}\b|account statement|bank statement|account (?:no|number)|passport (?:no|number)|"
-    r"salary slip|payslip|date of birth|policy number|e-?ticket|boarding pass|tax invoice|invoice (?:no|number)|order (?:id|no)\b|"
-    r"booking (?:id|ref)|client ledger|contract note|tax declaration|curriculum vitae|client id|nominee|capital gains? statement"
-)
-SENSITIVE_TITLE = (
-    r"(?i)hall ticket|admit card|invoice|receipt|passport|(?:^|[^a-z])nda(?:[^a-z]|$)|agreement|(?:credit[ _-]?card|account|bank|quarterly|monthly|personal|salary)[ _-]*statement|"
-    r"certificate|\bvisa\b|offer letter|payslip|cover[ _-]?letter|\bcv\b|r[ée]sum[ée]|ticket"
-)
+WORD_CHAR = r"\p{L}\p{M}\p{N}_"
+START, END = f"(?:^|[^{WORD_CHAR}])", f"(?:$|[^{WORD_CHAR}])"
+# Fixed patterns of documents that must not surface; whole words stand between START and END, which Java and RE2 read alike.
+SENSITIVE_TEXT = "|".join(
+    [
+        START + "(?:" + "|".join([r"[A-Z]{5}[0-9]{4}[A-Z]", r"[0-9]{4}\s[0-9]{4}\s[0-9]{4}", "IFSC", "PNR", "demat", "CV", "resume", "stmt"]) + ")" + END,
+        START + r"(?:form[ -]?16|form ?26as)" + END, r"order (?:id|no)" + END,
+        "account statement", "bank statement", r"account (?:no|number)", r"passport (?:no|number)", "salary slip", "payslip", "date of birth",
+        "permanent account number", "folio no", "policy number", r"e-?ticket", "boarding pass", "tax invoice", r"invoice (?:no|number)",
+        r"booking (?:id|ref)", "client ledger", "ledger statement", "contract note", "tax declaration", "curriculum vitae", "résumé",
+        "client id", "nominee", "annexure", r"capital gains? statement", "holding statement",
+    ]
+)
+SENSITIVE_TITLE = "|".join(
+    [
+        "gpay", "phonepe", "paytm", "hall ticket", "admit card", "ticket confirmation", "invoice", "receipt", "passport", r"(?:^|[^a-z])nda(?:[^a-z]|$)", "agreement",
+        r"(?:credit[ _-]?card|" + START + r"cc|account|bank|quarterly|monthly|personal|salary)[ _-]*(?:financial[ _-]*)?statement",
+        r"statement[ _-]*(?:of[ _-]*)?(?:account|transactions)", "certificate", START + "visa" + END, START + r"pan[ _-]?card", "aadhaar", "offer letter", "payslip",
+        r"itr[ _-]?v?" + END, r"cover[ _-]?letter", START + "cv" + END, r"r[ée]sum[ée]", "ticket", r"reco[ _-]?[0-9]?" + END,
+    ]
+)
 
 
 def sensitive(title: Column, text: Column, kind: Column, names: Sequence[str] = ()) -> Column:
     t = F.coalesce(title, F.lit(""))
     both = F.concat(t, F.lit(" "), F.coalesce(text, F.lit("")))
-    out = both.rlike(SENSITIVE_TEXT.replace("(?i)", "(?iu)")) | t.rlike(SENSITIVE_TITLE.replace("(?i)", "(?iu)"))
+    out = both.rlike("(?iu)" + SENSITIVE_TEXT) | t.rlike("(?iu)" + SENSITIVE_TITLE)
     return out | ((kind == "literature") & both.rlike("(?iu)" + quoted(names))) if names else out
 
 
@@ -180,6 +198,11 @@ def own_kind(category: Column, path: Column, own_paths: Sequence[str]) -> Column
     return F.when(own, "own").otherwise("literature")
 
 
+def own_text(text: Column, markers: Sequence[str]) -> Column:
+    """Whether the text says that it is the owner's own output."""
+    return F.coalesce(text, F.lit("")).rlike("(?iu)" + quoted(markers)) if markers else F.lit(False)
+
+
 def shareable(category: Column, folder: Column, private: Sequence[str]) -> Column:
     return F.coalesce((category == "research") & ~folder.isin(list(private)), F.lit(False))
 
@@ -193,10 +216,21 @@ def money_text(value: Column, currency: Column) -> Column:
     )
 
 
+# Fixed format of file names: ``(series) authors - title (year) - publisher``.
+NAME_SHAPE = r"^(?:\([^)]*\)\s*)?([^-]+?)\s*-\s*(.+?)(?:\s*\(((?:19|20)[0-9]{2})\))?(?:\s*-\s*[^-]+)?$"
+
+
+def author_names(authors: Column) -> Column:
+    """array<struct<first, last>> of names: the last word is the last name; ``Last, First`` is not told apart here."""
+    words = lambda a: F.filter(F.split(F.trim(a), SPACE), lambda w: w != "")
+    kept = F.filter(authors, lambda a: F.size(words(a)) > 0)
+    return F.transform(kept, lambda a: F.struct(F.array_join(F.slice(words(a), 1, F.size(words(a)) - 1), " ").alias("first"), F.element_at(words(a), -1).alias("last")))
+
+
 def parsed_name(name: Column) -> dict[str, Column]:
     """authors, title and year of a file name ``(series) authors - title (year) - publisher.ext``."""
     stem = F.regexp_replace(name, r"\.[^.\s]+$", "")
-    shape = r"^(?:\([^)]*\)\s*)?([^-]+?)\s*-\s*(.+?)(?:\s*\(((?:19|20)[0-9]{2})\))?(?:\s*-\s*[^-]+)?$"
+    shape = NAME_SHAPE
     hit = stem.rlike(shape)
     parts = F.transform(F.split(F.regexp_extract(stem, shape, 1), r",| and |;"), lambda x: F.trim(x))
     authors = F.filter(parts, lambda x: (x != "") & ~F.lower(x).isin("et al", "et al."))

@@ -1,14 +1,18 @@
 """Which documents wait for conversion, what became of the others, and how much one run may read.
 
 The budget admits files in order (source, key): the first always, later ones while the sum stays within the
-budget; a file that does not fit is put off and smaller ones after it may still fit.  Instead of a fold over
-one sorted list, rounds of distributed prefix sums are used: each round admits everything before the first
-file that does not fit and drops what is larger than the rest of the budget.
+budget; a file that does not fit is put off and smaller ones after it may still fit.  Instead of a fold over one
+sorted list, the files are cut into ordered buckets of a bounded number of rows.  A bucket that fits is taken
+by its sum and one whose smallest file is too large is left out by its minimum, neither is looked into; only
+the others are folded, each in a task of its own.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Callable
+
+import pandas as pd
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docstrata.operators.state import latest
@@ -27,35 +31,36 @@ def pending(documents: DataFrame, fulltext: DataFrame) -> DataFrame:
     return documents.filter("coalesce(is_duplicate, false) = false").join(fulltext.select("item_key").distinct(), "item_key", "left_anti")
 
 
-def running_sums(rows: DataFrame, order: list[str], size: str) -> DataFrame:
-    """``cum``: sum of ``size`` up to and with each row in global order; bucketed so that no task holds all rows."""
-    buckets = max(1, rows.count() // ROWS_PER_BUCKET)
-    ranged = cut(rows.repartitionByRange(buckets, *order).withColumn("bucket", F.spark_partition_id()))
-    sums = ranged.groupBy("bucket").agg(F.sum(size).alias("s"))
-    # one row per bucket
-    starts = sums.select("bucket", F.coalesce(F.sum("s").over(Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)).alias("start"))
-    w = Window.partitionBy("bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return ranged.join(F.broadcast(starts), "bucket").withColumn("cum", F.round(F.col("start") + F.sum(size).over(w), 6)).drop("bucket", "start")
+def fold(used: float, budget: float, first: bool, order: list[str], size: str) -> Callable[[pd.DataFrame], pd.DataFrame]:
+    """The fold over one bucket's files, ``used`` megabytes into the budget; ``first`` if the very first file is among them."""
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        rows, total, keep = rows.sort_values(order), used, []
+        for i, x in enumerate(rows[size]):
+            keep.append((first and i == 0) or round(total + x, 6) <= budget)
+            total = round(total + x, 6) if keep[-1] else total
+        return rows[keep]
+
+    return run
 
 
 def admit(files: DataFrame, budget: float, order: list[str], size: str = "size_mb") -> DataFrame:
     """The files admitted within the budget; null sizes count as 0, rows must be unique in ``order``."""
-    rest = cut(files.withColumn(size, F.coalesce(size, F.lit(0.0))).withColumn("_o", F.struct(*order)))
-    done, left = None, budget
-    while True:  # every round takes at least one file out of ``rest``
-        sums = cut(running_sums(rest, order, size))
-        if sums.isEmpty():
-            break
-        first = sums.agg(F.min("_o").alias("o")).first()["o"] if done is None else None
-        over = F.col("cum") > left
-        if first is not None:  # the very first file is admitted whatever its size
-            over = over & (F.col("_o") > F.struct(*[F.lit(v) for v in first]))
-        stop = sums.filter(over).agg(F.min("_o").alias("o")).first()["o"]
-        take = sums if stop is None else sums.filter(F.col("_o") < F.struct(*[F.lit(v) for v in stop]))
-        take = cut(take.drop("cum"))
-        done = take if done is None else done.unionByName(take)
-        if stop is None:
-            break
-        left -= take.agg(F.coalesce(F.sum(size), F.lit(0.0)).alias("s")).first()["s"]
-        rest = cut(sums.drop("cum").filter(F.col("_o") > F.struct(*[F.lit(v) for v in stop])).filter(F.round(F.col(size), 6) <= round(left, 6)))
-    return (done if done is not None else rest).drop("_o")
+    files = files.withColumn(size, F.coalesce(size, F.lit(0.0)))
+    buckets = max(1, files.count() // ROWS_PER_BUCKET)
+    ranged = cut(files.repartitionByRange(buckets, *order).withColumn("bucket", F.spark_partition_id()))
+    sums = ranged.groupBy("bucket").agg(F.sum(size).alias("sum"), F.min(size).alias("least")).orderBy("bucket").collect()  # one row per bucket
+    used, whole, opened = 0.0, [], []
+    for r in sums:
+        first = r is sums[0]
+        if round(used + r["sum"], 6) <= budget:
+            whole.append(r["bucket"])
+            used = round(used + r["sum"], 6)
+        elif first or round(used + r["least"], 6) <= budget:
+            taken = cut(ranged.filter(F.col("bucket") == r["bucket"]).groupBy("bucket").applyInPandas(fold(used, budget, first, order, size), ranged.schema))
+            used = round(used + (taken.agg(F.sum(size).alias("s")).first()["s"] or 0.0), 6)
+            opened.append(taken)
+    out = ranged.filter(F.col("bucket").isin(whole))
+    for taken in opened:
+        out = out.unionByName(taken)
+    return out.drop("bucket")

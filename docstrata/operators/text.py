@@ -1,19 +1,31 @@
-"""TF-IDF weights, BM25 search and note-to-document links as joins on terms.
+"""TF-IDF weights, BM25 search and note-to-document links.
 
-Terms are rows: document frequencies and norms are partial aggregates, similarity is a join on the term and a
-sum, so no matrix is ever built in one place.  Null and blank texts have no terms; an empty corpus gives
-empty results.
+Terms are counted document by document inside tasks and added up before the shuffle, so (document, term) rows
+are never shuffled.  The vocabulary is bounded by definition and goes to the tasks, where a second pass
+over the texts weighs and normalises each document's terms.  Null and blank texts have no terms; an empty
+corpus gives empty results.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections import Counter
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+import regex
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docstrata.config import STOP_WORDS
 
+MAX_TERMS = 60_000  # size of the vocabulary, part of the definition
+FLUSH_TERMS = 300_000
+NOTES_BLOCK = 2_000
+TOKEN = regex.compile(r"[\p{L}\p{M}\p{N}_]+")
+PLAIN = regex.compile(r"[a-z]{3,}")
+
 
 def words(text: Column, stop: Sequence[str] = STOP_WORDS) -> Column:
     """Plain lower-case words of three letters or more that are no stop words, in order."""
@@ -21,44 +33,124 @@ def words(text: Column, stop: Sequence[str] = STOP_WORDS) -> Column:
     return F.filter(tokens, lambda x: x.rlike("^[a-z]{3,}$") & ~x.isin(list(stop)))
 
 
-def term_counts(docs: DataFrame, key: str, bigrams: bool = True) -> DataFrame:
-    """key, term, tf over single words and pairs of neighbours."""
-    w = docs.select(key, words(F.col("text")).alias("w"))
-    pairs = F.when(F.size("w") > 1, F.zip_with(F.slice("w", 1, F.size("w") - 1), F.slice("w", 2, F.size("w") - 1), lambda a, b: F.concat(a, F.lit(" "), b))).otherwise(F.array().cast("array<string>"))
-    terms = F.concat("w", pairs) if bigrams else F.col("w")
-    return w.select(key, F.explode(terms).alias("term")).groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
+def terms_of(text: str | None, stop: frozenset[str] = frozenset(STOP_WORDS)) -> Counter:
+    """Counts of the words of a text (as in ``words``) and of pairs of neighbours."""
+    w = [t for t in TOKEN.findall((text or "").lower()) if t not in stop and PLAIN.fullmatch(t)]
+    c = Counter(w)
+    c.update(f"{a} {b}" for a, b in zip(w, w[1:], strict=False))
+    return c
 
 
-def tfidf(docs: DataFrame, key: str, min_df: int = 5, max_df: float = 0.35, max_terms: int = 60_000) -> DataFrame:
-    """key, term, weight: (1 + ln tf) * (ln((1 + n) / (1 + df)) + 1), normalised per document.
+def vocabulary(docs: DataFrame, min_df: int = 5, max_df: float = 0.35, max_terms: int = MAX_TERMS) -> dict[str, float]:
+    """term -> inverse document frequency of the ``max_terms`` most frequent terms (ties by term) within the bounds."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        df, cf = Counter(), Counter()
+
+        def emit() -> pa.RecordBatch:
+            rows = pa.RecordBatch.from_arrays([pa.array(list(df), pa.string()), pa.array(list(df.values()), pa.int64()), pa.array([cf[t] for t in df], pa.int64())], names=["term", "df", "cf"])
+            df.clear()
+            cf.clear()
+            return rows
+
+        for b in batches:
+            for t in b.column(0).to_pylist():
+                c = terms_of(t)
+                df.update(c.keys())
+                cf.update(c)
+                if len(df) > FLUSH_TERMS:
+                    yield emit()
+        yield emit()
 
-    The vocabulary is the ``max_terms`` most frequent terms (ties by term) within the document-frequency bounds;
-    its bound is the feature (vocabulary size), and makes it fit to broadcast.
-    """
-    tf = term_counts(docs, key)
     n = docs.count()
-    vocab = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("cf")).filter((F.col("df") >= min_df) & (F.col("df") <= max_df * n))
-    vocab = vocab.orderBy(F.desc("cf"), "term").limit(max_terms).select("term", (F.log((1.0 + n) / (1 + F.col("df"))) + 1).alias("idf"))
-    w = tf.join(F.broadcast(vocab), "term").select(key, "term", ((1 + F.log("tf")) * F.col("idf")).alias("w"))
-    norms = w.groupBy(key).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    return w.join(norms, key).select(key, "term", (F.col("w") / F.col("norm")).alias("weight"))
+    v = docs.select("text").mapInArrow(run, "term string, df bigint, cf bigint").groupBy("term").agg(F.sum("df").alias("df"), F.sum("cf").alias("cf"))
+    v = v.filter((F.col("df") >= min_df) & (F.col("df") <= max_df * n)).orderBy(F.desc("cf"), "term").limit(max_terms)
+    got = v.select("term", (F.log((1.0 + n) / (1 + F.col("df"))) + 1).alias("idf")).toArrow()
+    return dict(zip(got.column(0).to_pylist(), got.column(1).to_pylist(), strict=True))
+
+
+def weighted(text: str | None, idf: dict[str, float]) -> dict[str, float]:
+    """term -> (1 + ln tf) * idf over the vocabulary, normalised."""
+    w = {t: (1 + np.log(n)) * idf[t] for t, n in terms_of(text).items() if t in idf}
+    norm = np.sqrt(sum(x * x for x in w.values()))
+    return {t: float(x / norm) for t, x in w.items()}
+
+
+def tfidf(docs: DataFrame, key: str, idf: dict[str, float] | None = None) -> DataFrame:
+    """key, term, weight of every document's terms within the vocabulary."""
+    packed = docs.sparkSession.sparkContext.broadcast(vocabulary(docs) if idf is None else idf)
+    kind = docs.schema[key].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            at, terms, weights = [], [], []
+            for i, t in enumerate(b.column(1).to_pylist()):
+                w = weighted(t, packed.value)
+                at += [i] * len(w)
+                terms += w
+                weights += w.values()
+            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(at, pa.int32())), pa.array(terms, pa.string()), pa.array(weights, pa.float64())], names=[key, "term", "weight"])
+
+    return docs.select(key, "text").mapInArrow(run, f"`{key}` {kind}, term string, weight double")
 
 
 def bm25(docs: DataFrame, key: str, query: Sequence[str], k1: float = 1.2, b: float = 0.75) -> DataFrame:
-    """key, score of the documents with any query term."""
-    tf = term_counts(docs, key, bigrams=False)
-    lengths = tf.groupBy(key).agg(F.sum("tf").alias("len"))
-    stats = lengths.agg(F.count(F.lit(1)).alias("n"), F.avg("len").alias("avg_len"))
-    hits = tf.filter(F.col("term").isin([q.lower() for q in query]))
-    df = hits.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    scored = hits.join(F.broadcast(df), "term").join(lengths, key).join(F.broadcast(stats))
-    idf = F.log((F.col("n") - F.col("df") + 0.5) / (F.col("df") + 0.5) + 1)
-    part = idf * F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("len") / F.col("avg_len")))
-    return scored.groupBy(key).agg(F.round(F.sum(part), 6).alias("score"))
-
-
-def term_links(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
-    """Cosine of weighted-term tables by a join on the term."""
-    a = left.select(left_key, "term", F.col("weight").alias("wa"))
-    b = right.select(right_key, "term", F.col("weight").alias("wb"))
-    return a.join(b, "term").groupBy(left_key, right_key).agg(F.round(F.sum(F.col("wa") * F.col("wb")), 6).alias("similarity"))
+    """key, score of the documents with any query term; only the query's terms are counted, nothing is exploded."""
+    terms = sorted({q.lower() for q in query})
+    w = docs.select(key, words(F.col("text")).alias("w")).select(key, F.size("w").alias("len"), *[F.size(F.filter("w", F.lit(q).__eq__)).alias(f"tf{i}") for i, q in enumerate(terms)]).filter("len > 0")
+    stats = w.agg(F.count(F.lit(1)).alias("n"), F.avg("len").alias("avg_len"), *[F.count_if(F.col(f"tf{i}") > 0).alias(f"df{i}") for i in range(len(terms))])
+    score = F.lit(0.0)
+    for i in range(len(terms)):
+        tf, df = F.col(f"tf{i}"), F.col(f"df{i}")
+        part = F.log((F.col("n") - df + 0.5) / (df + 0.5) + 1) * tf * (k1 + 1) / (tf + k1 * (1 - b + b * F.col("len") / F.col("avg_len")))
+        score = score + F.when(tf > 0, part).otherwise(0.0)
+    any_term = sum((F.col(f"tf{i}") for i in range(len(terms))), F.lit(0)) > 0
+    return w.filter(any_term).join(F.broadcast(stats)).select(key, F.round(score, 6).alias("score"))  # stats: one row
+
+
+def note_matches(notes: DataFrame, docs: DataFrame, note_key: str, key: str, top: int = 40) -> DataFrame:
+    """note_key, key, similarity, rank: the ``top`` most similar documents of each note (ties by key), cosine of TF-IDF.
+
+    The notes are the stated query set: they go to the tasks in blocks of ``NOTES_BLOCK``.  Each batch of documents
+    is scored against a block and keeps its own ``top`` per note; these few rows are ranked.
+    """
+    spark = docs.sparkSession
+    idf = vocabulary(docs)
+    all_idf = spark.sparkContext.broadcast(idf)
+    rows = notes.filter(F.col(note_key).isNotNull()).select(note_key, "text").dropDuplicates([note_key])
+    blocks = max(1, -(-rows.count() // NOTES_BLOCK))
+    kinds = [x.schema[c].dataType.simpleString() for x, c in ((notes, note_key), (docs, key))]
+    out = None
+    for n in range(blocks):
+        mine = [(r[note_key], weighted(r["text"], idf)) for r in rows.filter(F.pmod(F.xxhash64(note_key), F.lit(blocks)) == n).toLocalIterator()]
+        by_term: dict[str, list[tuple[int, float]]] = {}
+        for i, (_, w) in enumerate(mine):
+            for t, x in w.items():
+                by_term.setdefault(t, []).append((i, x))
+        index = {t: (np.array([i for i, _ in p]), np.array([x for _, x in p])) for t, p in by_term.items()}
+        packed = spark.sparkContext.broadcast(([k for k, _ in mine], index))
+
+        def run(batches: Iterator[pd.DataFrame], packed=packed) -> Iterator[pd.DataFrame]:
+            ids, index = packed.value
+            for b in batches:
+                keys = b[key].to_numpy()
+                s = np.zeros((len(b), len(ids)))
+                for row, t in enumerate(b["text"]):
+                    for term, x in weighted(t, all_idf.value).items():
+                        if term in index:
+                            at, y = index[term]
+                            s[row, at] += x * y
+                s = np.round(s, 6)
+                found = []
+                for i in range(len(ids)):
+                    col = s[:, i]
+                    least = np.partition(col, -top)[-top] if len(col) > top else 0.0
+                    cand = np.flatnonzero((col >= least) & (col > 0))
+                    cand = cand[np.lexsort((keys[cand], -col[cand]))][:top]
+                    found += [(ids[i], keys[j], col[j]) for j in cand]
+                yield pd.DataFrame(found, columns=[note_key, key, "similarity"])
+
+        part = docs.filter(F.col(key).isNotNull()).select(key, "text").mapInPandas(run, f"`{note_key}` {kinds[0]}, `{key}` {kinds[1]}, similarity double")
+        out = part if out is None else out.unionByName(part)
+    best = Window.partitionBy(note_key).orderBy(F.desc("similarity"), key)
+    return out.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= top)

@@ -1,7 +1,8 @@
 """Topic clusters: hashed TF-IDF, truncated SVD and k-means with MLlib, all seeded.
 
-Fitting the projection and the centres uses at most ``FIT_ROWS`` documents, taken in hash order; every
-document is projected and assigned.  Fewer than 8 documents with terms give an empty result.
+Weights, projection and centres are fitted on all documents: document frequencies, the Gramian and the sums
+of the centres are partial aggregates of a size that does not grow with the corpus.  Words are hashed into
+``FEATURES`` columns, so that the Gramian stays small.  Fewer than 8 documents with terms give an empty result.
 """
 
 from __future__ import annotations
@@ -13,29 +14,28 @@ from pyspark.ml.feature import IDF, HashingTF, Normalizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.mllib.linalg import Vectors
 from pyspark.mllib.linalg.distributed import RowMatrix
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docstrata.operators.text import words
 from docstrata.sources.tables import cut
 
-FIT_ROWS = 20_000
 FEATURES = 1024
-DIMS = 40
+DIMS = 100
 
 
-def topic_clusters(docs: DataFrame, key: str, max_clusters: int = 100) -> DataFrame:
-    """key, cluster, distance to the centre."""
-    w = docs.select(key, words(F.col("text")).alias("w")).filter(F.size("w") > 0)
-    tf = HashingTF(inputCol="w", outputCol="tf", numFeatures=FEATURES).transform(w).select(key, "tf")
+def topic_clusters(docs: DataFrame, key: str, max_clusters: int = 100, fit: Column | None = None) -> DataFrame:
+    """key, cluster, distance to the centre; the model is fitted on the rows where ``fit`` holds, all rows are assigned."""
+    w = docs.select(key, words(F.col("text")).alias("w"), (F.lit(True) if fit is None else F.coalesce(fit, F.lit(False))).alias("fit")).filter(F.size("w") > 0)
+    tf = HashingTF(inputCol="w", outputCol="tf", numFeatures=FEATURES).transform(w).select(key, "tf", "fit")
     tf = cut(tf)
-    n = tf.count()
+    known = tf.filter("fit")
+    n = known.count()
     if n < 8:
         return tf.select(key, F.lit(0).alias("cluster"), F.lit(0.0).alias("distance")).limit(0)
-    fit = tf.orderBy(F.xxhash64(key), key).limit(FIT_ROWS)
-    idf = IDF(inputCol="tf", outputCol="x", minDocFreq=5).fit(fit)
+    idf = IDF(inputCol="tf", outputCol="x", minDocFreq=5).fit(known)
     norm = Normalizer(inputCol="x", outputCol="u")
-    rows = norm.transform(idf.transform(fit)).select("u")
+    rows = norm.transform(idf.transform(known)).select("u")
     # one pass: the right singular vectors are the leading eigenvectors of the FEATURES x FEATURES Gramian
     gram = RowMatrix(rows.rdd.map(lambda r: Vectors.fromML(r["u"]))).computeGramianMatrix().toArray()
     basis = np.linalg.eigh(gram)[1][:, ::-1][:, : min(DIMS, FEATURES - 1, n - 1)]
@@ -47,11 +47,10 @@ def topic_clusters(docs: DataFrame, key: str, max_clusters: int = 100) -> DataFr
         x = np.stack(u.to_numpy()) @ packed.value if len(u) else np.zeros((0, packed.value.shape[1]))
         return pd.Series(list(x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)))
 
-    z = norm.transform(idf.transform(tf)).select(key, array_to_vector(project(vector_to_array("u"))).alias("features"))
+    z = norm.transform(idf.transform(tf)).select(key, "fit", array_to_vector(project(vector_to_array("u"))).alias("features"))
     z = cut(z)
     k = max(8, min(max_clusters, n // 40))
-    sample = z.orderBy(F.xxhash64(key), key).limit(FIT_ROWS)
-    model = KMeans(k=min(k, n), seed=0, maxIter=15).fit(sample)
+    model = KMeans(k=min(k, n), seed=0, maxIter=15).fit(z.filter("fit"))
     out = model.transform(z)
     centres = docs.sparkSession.sparkContext.broadcast(np.array(model.clusterCenters()))
 

@@ -127,10 +127,14 @@ def with_evidence(claims: DataFrame) -> DataFrame:
     hits = F.regexp_extract_all(F.coalesce("snippet", F.lit("")), F.lit(MONEY), F.lit(0))
     stated_parts = F.filter(F.transform(hits, _parts), lambda p: F.concat(F.get(p, F.lit(0)), F.get(p, F.lit(2)), F.get(p, F.lit(4)), F.get(p, F.lit(5))) != "")
     mention = F.array_max(F.filter(F.transform(stated_parts, _money_mention), lambda m: m["num"].isNotNull()))
-    unit = lambda i: F.regexp_extract(F.coalesce("snippet", F.lit("")), UNIT_ONLY, i)
-    rate = lambda i: F.regexp_extract(F.coalesce("snippet", F.lit("")), RATE, i)
+    # each pattern goes over the snippet once; its groups are taken from the short hit
+    unit_parts = F.split(F.regexp_replace(F.regexp_extract(F.coalesce("snippet", F.lit("")), UNIT_ONLY, 0), UNIT_ONLY, "$1\u0001$2\u0001$3\u0001$4"), "\u0001", -1)
+    rate_parts = F.split(F.regexp_replace(F.regexp_extract(F.coalesce("snippet", F.lit("")), RATE, 0), RATE, "$1\u0001$2"), "\u0001", -1)
+    unit = lambda i: F.coalesce(F.get("unit_parts", F.lit(i - 1)), F.lit(""))
+    rate = lambda i: F.coalesce(F.get("rate_parts", F.lit(i - 1)), F.lit(""))
     rate_factor = lambda c: _lookup(RATE_NAMES, F.when(c != "", F.regexp_replace(F.lower(c), r"\s+", " ")))
     money, growth = F.col("kind") == "market_size", F.col("kind") == "cagr_pct"
+    best = best.withColumns({"unit_parts": F.when(money, unit_parts), "rate_parts": F.when(growth, rate_parts)})
     out = best.withColumns(
         {
             "m": F.when(money, mention),
@@ -155,7 +159,7 @@ def with_evidence(claims: DataFrame) -> DataFrame:
 
 
 def fit_scale_mixture(evidence: DataFrame) -> dict[str, dict]:
-    """Per kind: weights of the conversion-factor components and the common log10 mean and deviation.
+    """Per kind with any known factor: weights of the conversion-factor components and the common log10 mean and deviation.
 
     Semi-supervised EM over a histogram of log10(value): rows whose factor is known from the snippet sit in
     their component, the others are shared out by responsibility.  Histogram size is bounded by
@@ -176,8 +180,10 @@ def fit_scale_mixture(evidence: DataFrame) -> dict[str, dict]:
     for kind, factors in (("market_size", MONEY_FACTORS), ("cagr_pct", RATE_FACTORS)):
         offs = [math.log10(f) for f in factors]
         rows = [((r["cell"] + 0.5) * HIST_STEP, r["known"], r["count"]) for r in cells if r["kind"] == kind]
-        fixed = [(x + k, n) for x, k, n in rows if k is not None] or [(x, n) for x, _, n in rows]
-        total = sum(n for _, n in fixed) or 1
+        fixed = [(x + k, n) for x, k, n in rows if k is not None]
+        total = sum(n for _, n in fixed)
+        if not total:  # nothing fixes the scale
+            continue
         mu = sum(x * n for x, n in fixed) / total
         sd = max(0.2, math.sqrt(sum(n * (x - mu) ** 2 for x, n in fixed) / total))
         w = [1 / len(offs)] * len(offs)
@@ -205,8 +211,9 @@ def fit_scale_mixture(evidence: DataFrame) -> dict[str, dict]:
 def convert_units(claims: DataFrame, fx_rates: DataFrame) -> DataFrame:
     """claim_id, kind, unit, amount, evidence, factor, posterior, uncertain for every claim with a known figure.
 
-    ``factor`` and ``posterior`` of rows without evidence come from the mixture; ``whole_amount`` is the figure
-    read in whole units of currency (or percent), the project's reading where nothing helps.
+    ``factor`` and ``posterior`` of rows without evidence come from the mixture.  ``amount`` takes the mixture's factor
+    where its posterior is decisive; where it is not (``uncertain``), the figure is read in whole units of
+    currency or in percent, the project's reading where nothing helps.
     """
     ev = cut(with_evidence(claims))
     models = fit_scale_mixture(ev)
@@ -233,15 +240,15 @@ def convert_units(claims: DataFrame, fx_rates: DataFrame) -> DataFrame:
         .filter("rate is not null and figure is not null and not isnan(figure)")
         .withColumns({"used": F.coalesce("factor", best["f"], base), "posterior": F.when(F.col("evidence") != "none", F.lit(1.0)).otherwise(best["p"])})
     )
-    amount = lambda f: F.round(F.round(F.col("figure") * f * F.col("rate"), 4)).cast("long")
+    doubtful = F.coalesce("posterior", F.lit(0.0)) < DOUBTFUL_BELOW
+    used = F.when(doubtful, F.coalesce("factor", base)).otherwise(F.col("used"))
     return rows.select(
         "claim_id",
         "kind",
         F.when(money, "USD").otherwise("bp").alias("unit"),
-        amount(F.col("used")).alias("amount"),
-        amount(F.coalesce("factor", base)).alias("whole_amount"),
+        F.round(F.round(F.col("figure") * used * F.col("rate"), 4)).cast("long").alias("amount"),
         "evidence",
-        F.col("used").alias("factor"),
+        used.alias("factor"),
         F.round("posterior", 6).alias("posterior"),
-        (F.coalesce("posterior", F.lit(0.0)) < DOUBTFUL_BELOW).alias("uncertain"),
+        doubtful.alias("uncertain"),
     )

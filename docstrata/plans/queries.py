@@ -19,7 +19,7 @@ from docstrata.operators import pending as pend
 from docstrata.operators import similarity, state, topics, units
 from docstrata.operators import text as text_ops
 from docstrata.sources import landed
-from docstrata.sources.tables import table
+from docstrata.sources.tables import cut, table
 
 CFG = Config()
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -42,7 +42,7 @@ FILE = "list_extract(string_split(list_extract(string_split(coalesce(path, ''),
 EXT = rf"case when lower(regexp_extract({FILE}, '[^.].*\.([^.]*)$', 1)) = '' then 'unknown' else lower(regexp_extract({FILE}, '[^.].*\.([^.]*)$', 1)) end"
 MYEAR = "year(make_timestamp(case when mtime <> 0 then mtime end * 1000))"
 TITLE_CASE = " ".join(
-    "when regexp_matches(lower(coalesce(title, '')), '(?:^|[^\\p{L}\\p{N}_])(?:" + "|".join(x.replace(" ", "[\\s_-]+").replace("shoot-outs", "shoot[\\s_-]+outs") for x in ps) + ")(?:$|[^\\p{L}\\p{N}_])') then '" + n.replace("'", "''") + "'"
+    "when regexp_matches(lower(coalesce(title, '')), '(?:^|[^\\p{L}\\p{N}_])(?:" + "|".join(x.replace(" ", "[\\s_-]+") for x in ps) + ")(?:$|[^\\p{L}\\p{N}_])') then '" + n.replace("'", "''") + "'"
     for n, ps in config.TITLE_CATEGORIES
 )
 TITLE_SQL = f"case {TITLE_CASE} else '{config.UNCLASSIFIED}' end"
@@ -195,7 +195,7 @@ def copy_manifest(spark, d):
 
 
 STEM = rf"regexp_replace({BASE}, '\.[^.\s]+$', '')"
-SHAPE = r"^(?:\([^)]*\)\s*)?([^-]+?)\s*-\s*(.+?)(?:\s*\(((?:19|20)[0-9]{2})\))?(?:\s*-\s*[^-]+)?$"
+SHAPE = X.NAME_SHAPE
 
 
 @query(rf"""with s as (select item_key, coalesce(title, '') as stem0 from documents), t as (select item_key, regexp_replace(stem0, '\.[^.\s]+$', '') stem, regexp_matches(regexp_replace(stem0, '\.[^.\s]+$', ''), '{SHAPE}') hit from s),
@@ -212,12 +212,13 @@ def year_normalise(spark, d):
     return table(spark, d, "documents").select("item_key", X.catalogue_year(F.col("year"), CFG.as_of.year).alias("year"))
 
 
-@query(r"""select item_key, list_max(list_filter(list_transform(regexp_extract_all(coalesce(text, ''), '\b(19[5-9][0-9]|20[0-2][0-9])\b', 1), lambda y: cast(y as int)), lambda y: y <= 2026)) as guessed_year from documents""")
-def guess_year(spark, d):
-    return table(spark, d, "documents").select("item_key", X.latest_year_named(F.regexp_replace(F.coalesce("text", F.lit("")), r"[^\x00-\x7F]", " "), CFG.as_of.year).alias("guessed_year"))
+# every mark is doubled, so that one between two years serves both
+DOUBLED = r"regexp_replace(' ' || coalesce(text, '') || ' ', '([^\p{L}\p{M}\p{N}_])', '\1\1', 'g')"
 
 
-ORACLE["guess_year"] = ORACLE["guess_year"].replace("coalesce(text, '')", r"regexp_replace(coalesce(text, ''), '[^\x00-\x7F]', ' ', 'g')")
+@query(rf"""select item_key, list_max(list_filter(list_transform(regexp_extract_all({DOUBLED}, '[^\p{{L}}\p{{M}}\p{{N}}_](19[5-9][0-9]|20[0-2][0-9])[^\p{{L}}\p{{M}}\p{{N}}_]', 1), lambda y: cast(y as int)), lambda y: y <= 2026)) as guessed_year from documents""")
+def guess_year(spark, d):
+    return table(spark, d, "documents").select("item_key", X.latest_year_named(F.col("text"), CFG.as_of.year).alias("guessed_year"))
 
 
 @query("select content_type, count(*) as n_docs from (select case " + " ".join(f"when e = '{e}' then '{m}'" for e, m in {"pdf": "application/pdf", "epub": "application/epub+zip", "html": "text/html", "doc": "application/msword", "docx": "application/vnd.openxmlformats-officedocument.wordprocessingml.document", "pptx": "application/vnd.openxmlformats-officedocument.presentationml.presentation"}.items()) + f" else 'application/octet-stream' end content_type from (select {EXT} e from documents)) group by 1")
@@ -280,7 +281,10 @@ def remaining_work(spark, d):
     return a.join(F.broadcast(b)).select("total", "processed", (F.col("total") - F.col("processed")).alias("remaining"))
 
 
-@query()
+@query(f"""with recursive t as (select row_number() over (order by coalesce(source, ''), item_key) rn, coalesce(source, '') source, item_key, coalesce(source_mb, 0) size_mb from {LATEST}), h as (select sum(size_mb) / 2 half from t),
+f as (select rn, size_mb used, true ok from t where rn = 1 union all
+select t.rn, case when round(f.used + t.size_mb, 6) <= half then round(f.used + t.size_mb, 6) else f.used end, round(f.used + t.size_mb, 6) <= half from f join t on t.rn = f.rn + 1, h)
+select source, item_key, size_mb from t join f using (rn) where ok""")
 def budget_admission(spark, d):
     """The files one run may read: half of all megabytes, in order of source and key."""
     t = pend.last_attempts(table(spark, d, "fulltext_md")).select(F.coalesce("source", F.lit("")).alias("source"), "item_key", F.coalesce("source_mb", F.lit(0.0)).alias("size_mb"))
@@ -379,13 +383,30 @@ def archive_members(spark, d):
 
 # --- privacy, claims -------------------------------------------------------------------------------------
 
-SENS_TEXT, SENS_TITLE = X.SENSITIVE_TEXT, X.SENSITIVE_TITLE
+SENSITIVE = f"(regexp_matches(coalesce(title, '') || ' ' || coalesce(text, ''), '(?i){X.SENSITIVE_TEXT}') or regexp_matches(coalesce(title, ''), '(?i){X.SENSITIVE_TITLE}'))"
 
 
-@query(f"select item_key, regexp_matches(regexp_replace(coalesce(title, '') || ' ' || coalesce(text, ''), '[^\\x00-\\x7F]', 'e', 'g'), '{SENS_TEXT}') or regexp_matches(regexp_replace(coalesce(title, ''), '[^\\x00-\\x7F]', 'e', 'g'), '{SENS_TITLE}') as sensitive from documents")
+@query(f"select item_key, {SENSITIVE} as sensitive from documents")
 def privacy_filter(spark, d):
-    ascii_only = lambda c: F.regexp_replace(F.coalesce(c, F.lit("")), r"[^\x00-\x7F]", "e")
-    return table(spark, d, "documents").select("item_key", X.sensitive(ascii_only(F.col("title")), ascii_only(F.col("text")), F.lit("literature"), CFG.privacy_names).alias("sensitive"))
+    return table(spark, d, "documents").select("item_key", X.sensitive(F.col("title"), F.col("text"), F.lit("literature"), CFG.privacy_names).alias("sensitive"))
+
+
+OWN_TEXT = f"case when own_kind = 'own' or regexp_matches(coalesce(text, ''), '(?i){X.quoted(CFG.own_markers)}') then 'own' else 'literature' end"
+
+
+@query(f"""with c as (select item_key, category, chars, text_hash, text, {OWN_TEXT} k from {CONVERTED} where not {SENSITIVE}),
+g as (select text_hash, arg_min(struct_pack(i := item_key, kind := k), struct_pack(a := k = 'own', b := coalesce(category, '') = 'backup', c := -coalesce(chars, 0), k := item_key)) w from c group by 1)
+select item_key, w.kind as kind, item_key = w.i as is_canonical, length(trim(regexp_replace(coalesce(text, ''), '{WS}', ' ', 'g'))) >= 400 as substantive from c join g using (text_hash)""")
+def literature_corpus(spark, d):
+    """What insights are drawn from: kind by place and own marks in the text, then privacy, then one text per group of
+    copies with the kind of its best copy, then texts of 400 characters or more."""
+    c = _converted(spark, d).filter(~X.sensitive(F.col("title"), F.col("text"), F.lit(""), ()))
+    kind = F.when((F.col("own_kind") == "own") | X.own_text(F.col("text"), CFG.own_markers), "own").otherwise("literature")
+    size = F.length(F.trim(F.regexp_replace(F.coalesce("text", F.lit("")), X.SPACE, " ")))
+    c = c.select("item_key", "category", "chars", "text_hash", kind.alias("k"), (size >= 400).alias("substantive"))
+    order = F.struct((F.col("k") == "own").alias("a"), (F.coalesce("category", F.lit("")) == "backup").alias("b"), (-F.coalesce("chars", F.lit(0))).alias("c"), F.col("item_key").alias("i"))
+    best = c.groupBy("text_hash").agg(F.min_by(F.struct(F.col("item_key").alias("i"), F.col("k").alias("kind")), order).alias("w"))
+    return c.join(best, "text_hash").select("item_key", F.col("w.kind").alias("kind"), (F.col("item_key") == F.col("w.i")).alias("is_canonical"), "substantive")
 
 
 @query(f"select item_key, coalesce(category = 'research' and ({TOP}) not in ({SQL_LIST(CFG.private_folders)}), false) as shareable from documents")
@@ -417,7 +438,7 @@ def money_scales(spark, d):
 @query()
 def p5_found(spark, d):
     out = units.convert_units(table(spark, d, "claims"), table(spark, d, "fx_rates"))
-    return out.select("claim_id", "unit", F.col("whole_amount").alias("amount"))
+    return out.select("claim_id", "unit", "amount")
 
 
 @query()
@@ -464,28 +485,59 @@ def largest_clusters(spark, d):
     return _stats(spark, d).join(table(spark, d, "clusters").select("cluster", "label"), "cluster", "left").orderBy(F.desc("n_docs"), "cluster").limit(15).select("cluster", "label", "n_docs", "median_year", "pct_recent")
 
 
-@query(f"with s as {STATS} select cluster, n_docs, median_year, pct_recent from s where with_year >= 3 and pct_recent >= 10 and n_docs <= (select median(n_docs) from s) order by pct_recent desc, n_docs, cluster limit 12")
-def growing_thin(spark, d):
+def _limits(sql: str) -> tuple[str, str]:
+    """The SQL of a cluster report with the published limits, and with those of a small corpus."""
+    return tuple(f"with s as {STATS} {sql}".format(**vars(x)) for x in (config.Limits(), config.SMALL_CORPUS))
+
+
+GROWING = _limits("select cluster, n_docs, median_year, pct_recent from s where with_year >= {with_year} and pct_recent >= {pct_recent} and n_docs <= (select median(n_docs) from s) order by pct_recent desc, n_docs, cluster limit 12")
+STALE = _limits("select cluster, n_docs, median_year, pct_recent from s where with_year >= {with_year} and median_year <= {stale_year} and n_docs >= (select median(n_docs) from s) order by median_year, n_docs desc, cluster limit 12")
+WRITTEN = _limits("select cluster, n_docs, n_own from s where n_own >= {n_own} and n_own > {own_ratio} * n_docs order by n_own desc, cluster limit 10")
+READ = _limits("select cluster, n_docs, n_own from s where n_docs >= {n_docs} and n_own <= n_docs / 20 order by n_docs desc, cluster limit 10")
+
+
+@query(GROWING[0])
+def growing_thin(spark, d, limits=config.Limits()):
     s = _stats(spark, d)
     m = s.agg(F.median("n_docs").alias("m"))
-    return s.join(F.broadcast(m)).filter("with_year >= 3 and pct_recent >= 10 and n_docs <= m").orderBy(F.desc("pct_recent"), "n_docs", "cluster").limit(12).select("cluster", "n_docs", "median_year", "pct_recent")
+    return s.join(F.broadcast(m)).filter((F.col("with_year") >= limits.with_year) & (F.col("pct_recent") >= limits.pct_recent) & (F.col("n_docs") <= F.col("m"))).orderBy(F.desc("pct_recent"), "n_docs", "cluster").limit(12).select("cluster", "n_docs", "median_year", "pct_recent")
 
 
-@query(f"with s as {STATS} select cluster, n_docs, median_year, pct_recent from s where with_year >= 3 and median_year <= 2018 and n_docs >= (select median(n_docs) from s) order by median_year, n_docs desc, cluster limit 12")
-def stale_clusters(spark, d):
+@query(STALE[0])
+def stale_clusters(spark, d, limits=config.Limits()):
     s = _stats(spark, d)
     m = s.agg(F.median("n_docs").alias("m"))
-    return s.join(F.broadcast(m)).filter("with_year >= 3 and median_year <= 2018 and n_docs >= m").orderBy("median_year", F.desc("n_docs"), "cluster").limit(12).select("cluster", "n_docs", "median_year", "pct_recent")
+    return s.join(F.broadcast(m)).filter((F.col("with_year") >= limits.with_year) & (F.col("median_year") <= limits.stale_year) & (F.col("n_docs") >= F.col("m"))).orderBy("median_year", F.desc("n_docs"), "cluster").limit(12).select("cluster", "n_docs", "median_year", "pct_recent")
+
+
+@query(WRITTEN[0])
+def write_not_read(spark, d, limits=config.Limits()):
+    return _stats(spark, d).filter((F.col("n_own") >= limits.n_own) & (F.col("n_own") > limits.own_ratio * F.col("n_docs"))).orderBy(F.desc("n_own"), "cluster").limit(10).select("cluster", "n_docs", "n_own")
 
 
-@query(f"with s as {STATS} select cluster, n_docs, n_own from s where n_own >= 1 and n_own * 10 > n_docs order by n_own desc, cluster limit 10")
-def write_not_read(spark, d):
-    return _stats(spark, d).filter("n_own >= 1 and n_own * 10 > n_docs").orderBy(F.desc("n_own"), "cluster").limit(10).select("cluster", "n_docs", "n_own")
+@query(READ[0])
+def read_not_write(spark, d, limits=config.Limits()):
+    return _stats(spark, d).filter((F.col("n_docs") >= limits.n_docs) & (F.col("n_own") <= F.col("n_docs") / 20)).orderBy(F.desc("n_docs"), "cluster").limit(10).select("cluster", "n_docs", "n_own")
 
 
-@query(f"with s as {STATS} select cluster, n_docs, n_own from s where n_docs >= 20 and n_own <= n_docs / 20 order by n_docs desc, cluster limit 10")
-def read_not_write(spark, d):
-    return _stats(spark, d).filter("n_docs >= 20 and n_own <= n_docs / 20").orderBy(F.desc("n_docs"), "cluster").limit(10).select("cluster", "n_docs", "n_own")
+@query(GROWING[1])
+def growing_thin_small(spark, d):
+    return growing_thin(spark, d, config.SMALL_CORPUS)
+
+
+@query(STALE[1])
+def stale_clusters_small(spark, d):
+    return stale_clusters(spark, d, config.SMALL_CORPUS)
+
+
+@query(WRITTEN[1])
+def write_not_read_small(spark, d):
+    return write_not_read(spark, d, config.SMALL_CORPUS)
+
+
+@query(READ[1])
+def read_not_write_small(spark, d):
+    return read_not_write(spark, d, config.SMALL_CORPUS)
 
 
 # --- discovery and filing ------------------------------------------------------------------------------------
@@ -571,14 +623,17 @@ def tfidf_terms(spark, d):
 m as (select cluster, term, round(sum(weight) / any_value(size) - any_value(g), 6) lift from u join docs using (item_key) join c using (cluster) join g using (term) group by 1, 2)
 select cluster, string_agg(term, ', ' order by lift desc, term) as label from (select * from m qualify row_number() over (partition by cluster order by lift desc, term) <= 6) group by 1""")
 def cluster_labels(spark, d):
-    docs = table(spark, d, "documents")
-    w = text_ops.tfidf(docs, "item_key")
+    return _labels(table(spark, d, "documents"), table(spark, d, "docs").filter("cluster is not null").select("item_key", "cluster"))
+
+
+def _labels(docs, members):
+    """cluster, label: the six terms by which a cluster's mean weights exceed those of all documents most."""
     n = docs.count()
-    base = w.groupBy("term").agg((F.sum("weight") / n).alias("g"))
-    c = table(spark, d, "docs").filter("cluster is not null").select("item_key", "cluster")
-    sizes = c.groupBy("cluster").agg(F.count(F.lit(1)).alias("size"))
-    m = w.join(c, "item_key").groupBy("cluster", "term").agg(F.sum("weight").alias("s")).join(sizes, "cluster").join(base, "term")
-    m = m.select("cluster", "term", F.round(F.col("s") / F.col("size") - F.col("g"), 6).alias("lift"))
+    sizes = members.groupBy("cluster").agg(F.count(F.lit(1)).alias("size"))
+    # one sum per cluster and term (documents without a cluster under null) gives the clusters' and the corpus' means
+    sums = cut(text_ops.tfidf(docs, "item_key").join(members, "item_key", "left").groupBy("cluster", "term").agg(F.sum("weight").alias("s")))
+    base = sums.groupBy("term").agg((F.sum("s") / n).alias("g"))
+    m = sums.join(sizes, "cluster").join(base, "term").select("cluster", "term", F.round(F.col("s") / F.col("size") - F.col("g"), 6).alias("lift"))
     top = m.withColumn("rn", F.row_number().over(Window.partitionBy("cluster").orderBy(F.desc("lift"), "term"))).filter("rn <= 6")
     return top.groupBy("cluster").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("rn", "term"))), lambda x: x["term"]), ", ").alias("label"))
 
@@ -601,21 +656,10 @@ links as (select top.item_id, top.item_key, top.similarity, docs.cluster from to
 
 def _note_links(spark, d):
     """The five closest shareable documents of each note among its forty closest."""
-    docs = table(spark, d, "documents")
-    tf = text_ops.term_counts(docs, "item_key")
-    n = docs.count()
-    vocab = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("cf")).filter((F.col("df") >= 5) & (F.col("df") <= 0.35 * n)).orderBy(F.desc("cf"), "term").limit(60_000)
-    vocab = vocab.select("term", (F.log((1.0 + n) / (1 + F.col("df"))) + 1).alias("idf"))
-
-    def weights(counts, key):
-        w = counts.join(F.broadcast(vocab), "term").select(key, "term", ((1 + F.log("tf")) * F.col("idf")).alias("w"))
-        norm = w.groupBy(key).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-        return w.join(norm, key).select(key, "term", (F.col("w") / F.col("norm")).alias("weight"))
-
-    sims = text_ops.term_links(weights(text_ops.term_counts(table(spark, d, "eval_items"), "item_id"), "item_id"), weights(tf, "item_key"), "item_id", "item_key")
-    best = Window.partitionBy("item_id").orderBy(F.desc("similarity"), "item_key")
-    top = sims.withColumn("rn", F.row_number().over(best)).filter("rn <= 40").drop("rn")
+    notes = table(spark, d, "eval_items").filter("item_id is not null")
+    top = text_ops.note_matches(notes, table(spark, d, "documents"), "item_id", "item_key").drop("rank")
     ok = top.join(table(spark, d, "docs").filter("shareable").select("item_key", "cluster"), "item_key")
+    best = Window.partitionBy("item_id").orderBy(F.desc("similarity"), "item_key")
     return ok.withColumn("rank", F.row_number().over(best)).filter("rank <= 5")
 
 
@@ -630,11 +674,17 @@ def best_note_doc(spark, d):
 
 
 @query(f"with {NOTES} select c.cluster, c.label, c.n_docs from clusters c where c.cluster not in (select cluster from links where similarity >= 0.08 and cluster is not null) order by n_docs desc, cluster limit 12")
-def unlinked_clusters(spark, d):
-    linked = _note_links(spark, d).filter("similarity >= 0.08 and cluster is not null").select("cluster").distinct()
+def unlinked_clusters(spark, d, least=0.08):
+    linked = _note_links(spark, d).filter((F.col("similarity") >= least) & F.col("cluster").isNotNull()).select("cluster").distinct()
     return table(spark, d, "clusters").join(linked, "cluster", "left_anti").orderBy(F.desc("n_docs"), "cluster").limit(12).select("cluster", "label", "n_docs")
 
 
+@query(ORACLE["unlinked_clusters"].replace("similarity >= 0.08", "similarity >= 0.42"))
+def loosely_linked_clusters(spark, d):
+    """Clusters no note comes close to."""
+    return unlinked_clusters(spark, d, 0.42)
+
+
 @query("""with v as (select vec_id, list_transform(embedding, lambda x: cast(x as double)) e from embeddings), q as (select * from v where vec_id % 50 = 0),
 s as (select q.vec_id q, v.vec_id, list_cosine_similarity(q.e, v.e) similarity from q, v where q.vec_id <> v.vec_id)
 select q, vec_id, round(similarity, 6) as similarity, cast(row_number() over (partition by q order by round(similarity, 9) desc, vec_id) as int) as rank from s qualify row_number() over (partition by q order by round(similarity, 9) desc, vec_id) <= 5""")
@@ -644,15 +694,14 @@ def embedding_neighbours(spark, d):
     return similarity.nearest(v, v.filter("vec_id % 50 = 0")).withColumn("similarity", F.round("similarity", 6))
 
 
-NEIGHBOURS = ORACLE["embedding_neighbours"]
-
-
-@query(f"select case when similarity >= 0.995 then 'same' when similarity >= 0.97 then 'near' else 'other' end as band, count(*) as n_pairs, max(similarity) as closest from ({NEIGHBOURS}) group by 1")
+@query("""with v as (select vec_id, list_transform(embedding, lambda x: cast(x as double)) e from embeddings), q as (select * from v where vec_id % 50 = 0),
+s as (select q.vec_id q, round(list_cosine_similarity(q.e, v.e), 9) s from q, v where q.vec_id <> v.vec_id), l as (select unnest([0.25, 0.97, 0.995]::double[]) lv)
+select lv as at_least, count(*) as n_pairs, count(distinct q) as n_queries from s join l on s >= lv group by 1""")
 def neighbour_bands(spark, d):
-    """How many of the neighbours found are copies, near copies or neither."""
-    s = F.col("similarity")
-    band = F.when(s >= 0.995, "same").when(s >= 0.97, "near").otherwise("other")
-    return embedding_neighbours(spark, d).groupBy(band.alias("band")).agg(F.count(F.lit(1)).alias("n_pairs"), F.max("similarity").alias("closest"))
+    """How many pairs of a query vector and another row reach a cosine: copies, near copies, alike; all partners count."""
+    v = table(spark, d, "embeddings")
+    n = similarity.near_counts(v, v.filter("vec_id % 50 = 0"), [0.25, 0.97, 0.995])
+    return n.groupBy(F.col("level").alias("at_least")).agg(F.sum("n").alias("n_pairs"), F.count(F.lit(1)).alias("n_queries"))
 
 
 @query()
@@ -660,6 +709,21 @@ def topic_clusters(spark, d):
     return topics.topic_clusters(table(spark, d, "documents"), "item_key")
 
 
+@query()
+def topic_overview(spark, d):
+    """Clusters fitted on the literature with the owner's documents assigned to them: sizes, years and label of each."""
+    corpus = literature_corpus(spark, d).filter("is_canonical and substantive").select("item_key", "kind")
+    docs = table(spark, d, "documents").select("item_key", "text", X.catalogue_year(F.col("year"), CFG.as_of.year).alias("year")).join(corpus, "item_key")
+    c = cut(topics.topic_clusters(docs, "item_key", fit=F.col("kind") == "literature").select("item_key", "cluster").join(docs.select("item_key", "kind", "year"), "item_key"))
+    lit = F.col("kind") == "literature"
+    year = F.when(lit, F.col("year"))
+    g = c.groupBy("cluster").agg(
+        F.count_if(lit).alias("n_docs"), F.count_if(~lit).alias("n_own"), F.floor(F.median(year)).cast("int").alias("median_year"),
+        F.round(100.0 * F.count_if(year >= 2023) / F.nullif(F.count(year), F.lit(0)), 1).alias("pct_recent"),
+    )
+    return g.join(_labels(docs.filter(lit), c.filter(lit).select("item_key", "cluster")), "cluster", "left")
+
+
 # --- gates ---------------------------------------------------------------------------------------------------
 
 
@@ -683,13 +747,60 @@ def topic_gate(spark, d):
     return t.agg(F.count(F.lit(1)).alias("n_topics")).join(F.broadcast(five)).withColumn("passed", (F.col("n_topics") > 0) & (F.col("in_first_five") > 0))
 
 
-@query("""select case when category in ('research', 'backup', 'uncategorized') and trim(topic) <> '' then category else 'uncategorized' end as category, case when category in ('research', 'backup', 'uncategorized') and trim(topic) <> '' then trim(topic) else 'unclear' end as topic, count(*) as n from documents group by 1, 2""")
-def model_replies(spark, d):
-    """Category and topic read back from replies that hold them as JSON between other words."""
-    reply = F.concat(F.lit("Sure:\n"), F.to_json(F.struct("category", "topic")), F.lit("\nDone."))
-    t = table(spark, d, "documents").select(reply.alias("reply"))
-    parts = X.reply_fields(F.col("reply"), ["research", "backup", "uncategorized"])
-    return t.select(*[c.alias(n) for n, c in parts.items()]).groupBy("category", "topic").agg(F.count(F.lit(1)).alias("n"))
+@query("""with l as (select event_id n, event_type || ' ' || coalesce(cast(user_id as varchar), '') as line from events),
+m as (select max(case when starts_with(line, 'purchase') then n end) hit, max(n) tail from l) select hit is not null as passed, line from m join l on l.n = coalesce(hit, tail)""")
+def completion_gate(spark, d):
+    """The last log line with the completion marker, else the last line of all."""
+    lines = table(spark, d, "events").select(F.col("event_id").alias("n"), F.concat(F.col("event_type"), F.lit(" "), F.coalesce(F.col("user_id").cast("string"), F.lit(""))).alias("line"))
+    return landed.marked_line(lines, "n", "line", F.col("line").startswith("purchase"))
+
+
+@query("""select catalog_path as path, 'ok' as status, cast(0 as bigint) as size, count(*) as n_rows from fulltext_md where starts_with(source || '://' || catalog_path, 'dropbox://') group by 1""")
+def resume_log(spark, d):
+    """A log of finished paths made again from the items' addresses."""
+    url = F.concat("source", F.lit("://"), "catalog_path")
+    t = table(spark, d, "fulltext_md").filter(url.startswith("dropbox://")).select(F.split(url, "://", 2)[1].alias("path"))
+    return t.groupBy("path").agg(F.count(F.lit(1)).alias("n_rows")).select("path", F.lit("ok").alias("status"), F.lit(0).cast("bigint").alias("size"), "n_rows")
+
+
+CREATORS = rf"""select item_key, array_to_string(list_transform(a, lambda x: list_extract(string_split(x, ' '), -1) || ', ' || array_to_string(list_slice(string_split(x, ' '), 1, len(string_split(x, ' ')) - 1), ' ')), '; ') as creators from
+(select item_key, list_filter(list_transform(string_split(coalesce(authors, ''), '; '), lambda x: trim(regexp_replace(x, '{WS}', ' ', 'g'))), lambda x: x <> '') a from ({ORACLE['filename_parse']}))"""
+
+
+@query(CREATORS)
+def filename_creators(spark, d):
+    """First and last names of the authors named in titles."""
+    t = filename_parse(spark, d).select("item_key", X.author_names(F.split("authors", "; ")).alias("a"))
+    return t.select("item_key", F.array_join(F.transform("a", lambda x: F.concat(x["last"], F.lit(", "), x["first"])), "; ").alias("creators"))
+
+
+@query(rf"""select e.ext as extension, e.suffix, count(*) as n_docs from (select {EXT} as ext, case when lower(regexp_extract({BASE}, '^.+\.([^.]+)$', 1)) = '' then 'unknown' else lower(regexp_extract({BASE}, '^.+\.([^.]+)$', 1)) end as suffix from documents) e group by 1, 2""")
+def file_types(spark, d):
+    """File types by both definitions: of the innermost file, and of the listing."""
+    t = table(spark, d, "documents").select(X.extension(F.col("path")).alias("extension"), X.suffix(F.col("path")).alias("suffix"))
+    return t.groupBy("extension", "suffix").agg(F.count(F.lit(1)).alias("n_docs"))
+
+
+REPORT = f"""select 'thick' as section, cast(row_number() over (order by n_docs desc, cluster) as int) as line_no, '- ' || coalesce(label, '?') || ': ' || n_docs || ' documents' as line from ({ORACLE['largest_clusters']})
+union all select 'conflicts', cast(row_number() over (order by ratio desc, subject, currency, year) as int), '- ' || subject || ' market, ' || year || ': ' || n_docs || ' texts, ' || cast(round(ratio, 1) as decimal(9,1)) || ' times apart' from (select * from ({ORACLE['contradictions']}) order by ratio desc, subject, currency, year limit 25)
+union all select 'unlinked', cast(row_number() over (order by n_docs desc, cluster) as int), '- ' || label || ': ' || n_docs || ' documents' from ({ORACLE['loosely_linked_clusters']})"""
+
+
+@query(REPORT)
+def report_lines(spark, d):
+    """The report as lines of text, section by section, from the marts' top rows."""
+
+    def section(name, rows, order, line):
+        w = Window.orderBy(*order)  # at most 25 rows
+        return rows.select(F.lit(name).alias("section"), F.row_number().over(w).alias("line_no"), line.alias("line"))
+
+    n = F.col("n_docs").cast("string")
+    c = contradictions(spark, d).orderBy(F.desc("ratio"), "subject", "currency", "year").limit(25)
+    apart = F.concat(F.lit("- "), "subject", F.lit(" market, "), F.col("year").cast("string"), F.lit(": "), n, F.lit(" texts, "), F.round("ratio", 1).cast("decimal(9,1)").cast("string"), F.lit(" times apart"))
+    docs = lambda label: F.concat(F.lit("- "), label, F.lit(": "), n, F.lit(" documents"))
+    out = section("thick", largest_clusters(spark, d), [F.desc("n_docs"), "cluster"], docs(F.coalesce("label", F.lit("?"))))
+    out = out.unionByName(section("conflicts", c, [F.desc("ratio"), "subject", "currency", "year"], apart))
+    return out.unionByName(section("unlinked", loosely_linked_clusters(spark, d), [F.desc("n_docs"), "cluster"], docs(F.col("label"))))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -41,6 +41,12 @@ def read_log(spark: SparkSession, path: str, schema: str = LOG) -> DataFrame:
     return spark.read.schema(schema).option("mode", "DROPMALFORMED").json(path)
 
 
+def marked_line(lines: DataFrame, order: str, text: str, mark: Column) -> DataFrame:
+    """passed, line: the last line that has the mark, else the last line of all; no row without lines."""
+    last = lines.agg(F.max_by(text, F.when(mark, F.col(order))).alias("hit"), F.max_by(text, order).alias("tail"), F.count(F.lit(1)).alias("n"))
+    return last.filter("n > 0").select(F.col("hit").isNotNull().alias("passed"), F.coalesce("hit", "tail").alias("line"))
+
+
 def read_items(spark: SparkSession, path: str) -> DataFrame:
     """Library items of landed result pages, tags as plain strings."""
     items = spark.read.schema(f"data struct<{', '.join(f.replace(' ', ': ', 1) for f in ITEM.split(', '))}>").json(path).select("data.*").filter("key is not null")

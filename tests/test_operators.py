@@ -6,11 +6,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from docstrata.operators import claims, pending, state, units
-from docstrata.operators.similarity import nearest
-from docstrata.operators.text import bm25, tfidf
+from docstrata.operators.similarity import near_counts, nearest
+from docstrata.operators.text import bm25, tfidf, vocabulary
 from docstrata.operators.topics import topic_clusters
 from docstrata.sources import landed
-from docstrata.streaming.incremental import follow_attempts
+from docstrata.streaming.incremental import follow_attempts, merge_batch
 
 
 def test_claims_in_text():
@@ -59,7 +59,7 @@ CLAIMS = "claim_id bigint, kind string, currency string, value double, snippet s
 def test_units(spark, kind, currency, value, snippet, amount):
     fx = spark.createDataFrame([("USD", 1.0), ("EUR", 1.084), ("GBP", 1.273), ("AUD", 0.661), ("INR", 0.0121), (None, 2.0)], "currency string, usd_per_unit double")
     rows = spark.createDataFrame([(1, kind, currency, value, snippet, "x", "y")] * 2 + [(None, kind, currency, value, snippet, "x", "y")], CLAIMS)
-    got = [r.whole_amount for r in units.convert_units(rows, fx).collect()]
+    got = [r.amount for r in units.convert_units(rows, fx).collect()]
     assert got == ([] if amount is None else [amount])
 
 
@@ -71,6 +71,9 @@ def test_units_mixture_and_empty(spark):
     rows += [(1000 + i, "cagr_pct", None, round(rng.uniform(0.02, 0.05), 4), None, "", "") for i in range(100)]
     got = units.convert_units(spark.createDataFrame(rows, CLAIMS), fx).filter("evidence = 'none'")
     assert got.filter("factor = 10000 and not uncertain").count() == 100
+    # the mixture decides the amount: read as it stands, 0.03 would be 3 basis points
+    value = {r[0]: r[3] for r in rows}
+    assert all(r.amount == round(value[r.claim_id] * 10000) for r in got.collect())
 
 
 def test_budget_against_fold(spark):
@@ -114,6 +117,33 @@ def test_publish_and_stream(spark, tmp_path):
     assert schema
 
 
+def test_stream_replay_and_new_checkpoint(spark, tmp_path):
+    """A batch run again, before or after it was published, gives the same state; a new checkpoint goes on from it."""
+    cols = "item_key string, status string, chars bigint, converted_at timestamp_ntz"
+    rows = lambda *x: spark.createDataFrame([(k, s, 1, None) for k, s in x], "item_key string, status string, chars bigint, c string").select("item_key", "status", "chars", F.col("c").cast("timestamp_ntz").alias("converted_at"))
+    st = str(tmp_path / "state")
+    got = lambda: {r.item_key: r.status for r in state.current(spark, st).collect()}
+    merge_batch(spark, rows(("a", "failed"), ("b", "ok")), st, 0)
+    merge_batch(spark, rows(("a", "ok"), ("c", "failed")), st, 1)
+    want = {"a": "ok", "b": "ok", "c": "failed"}
+    assert got() == want
+    merge_batch(spark, rows(("a", "ok"), ("c", "failed")), st, 1)
+    assert got() == want
+    rows(("d", "ok")).write.parquet(str(tmp_path / "in"))
+    follow_attempts(spark, str(tmp_path / "in"), st, str(tmp_path / "cp"), rows().schema)
+    assert got() == want | {"d": "ok"} and cols
+    state.append_log(rows(("a", "ok")), str(tmp_path / "log"), "r1")
+    state.append_log(rows(("b", "ok")), str(tmp_path / "log"), "r2")
+    assert {(r.item_key, r.run) for r in spark.read.json(str(tmp_path / "log")).collect()} == {("a", "r1"), ("b", "r2")}
+
+
+def test_near_counts_all_partners(spark):
+    """More partners than any list of neighbours holds are all counted."""
+    rows = [(i, [1.0, 0.0]) for i in range(60)] + [(100 + i, [0.0, 1.0]) for i in range(3)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").repartition(4)
+    assert {(r.q, r.level): r.n for r in near_counts(df, df.filter("vec_id in (0, 100)"), [0.97]).collect()} == {(0, 0.97): 59, (100, 0.97): 2}
+
+
 def test_nearest_against_brute_force(spark):
     rng = random.Random(2)
     rows = [(i, [rng.gauss(0, 1) for _ in range(8)]) for i in range(120)] + [(500, None), (501, []), (502, [0.0] * 8), (503, [1.0])]
@@ -128,7 +158,7 @@ def test_nearest_against_brute_force(spark):
 def test_text_edges(spark):
     docs = spark.createDataFrame([("a", "solar panels and solar roofs"), ("b", None), ("c", ""), ("d", "courts")], "k string, text string")
     assert [r.k for r in bm25(docs, "k", ["Solar"]).collect()] == ["a"]
-    w = tfidf(docs, "k", min_df=1, max_df=1.0)
+    w = tfidf(docs, "k", vocabulary(docs, min_df=1, max_df=1.0))
     norms = w.groupBy("k").agg(F.round(F.sum(F.col("weight") * F.col("weight")), 9).alias("n")).collect()
     assert {r.k: r.n for r in norms} == {"a": 1.0, "d": 1.0}
     assert tfidf(docs.limit(0), "k").count() == 0

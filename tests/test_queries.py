@@ -39,7 +39,7 @@ def test_agrees(spark, duck, data, name):
 
 @pytest.mark.parametrize("name", sorted(set(core.queries()) - set(core.oracle_sql())))
 def test_runs(spark, data, name):
-    assert core.queries()[name](spark, data).columns
+    assert core.queries()[name](spark, data).count() >= 0
 
 
 def test_entry(spark):
