@@ -102,7 +102,8 @@ def title_categories(toml: Path) -> list[tuple[str, list[str]]]:
 
 
 def configured(toml: Path | None = None) -> Config:
-    """Parameters with the owner's lists from the environment (DOCSTRATA_<NAME>, split at commas) or the file, where set."""
+    """Parameters with the owner's lists from the environment (DOCSTRATA_<NAME>, split at commas) or the file, where they are set there."""
+    known = tomllib.loads(toml.read_text()) if toml and toml.exists() else {}
     names = ("personal_keywords", "privacy_names", "own_paths", "own_markers", "private_folders")
-    got = {n: tuple(config_list(n, f"DOCSTRATA_{n.upper()}", toml)) for n in names}
-    return Config(**{n: v for n, v in got.items() if v})
+    env = {n: f"DOCSTRATA_{n.upper()}" for n in names}
+    return Config(**{n: tuple(config_list(n, env[n], toml)) for n in names if env[n] in os.environ or n in known})

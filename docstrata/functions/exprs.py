@@ -194,7 +194,9 @@ def sensitive(title: Column, text: Column, kind: Column, names: Sequence[str] =
 
 
 def own_kind(category: Column, path: Column, own_paths: Sequence[str]) -> Column:
-    own = (F.coalesce(category, F.lit("")) == "backup") | F.coalesce(path, F.lit("")).rlike("(?i)" + quoted(own_paths))
+    own = F.coalesce(category, F.lit("")) == "backup"
+    if own_paths:
+        own = own | F.coalesce(path, F.lit("")).rlike("(?i)" + quoted(own_paths))
     return F.when(own, "own").otherwise("literature")
 
 

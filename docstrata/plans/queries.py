@@ -6,13 +6,14 @@ clusters, units) are tested against brute force instead.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from docstrata import config
-from docstrata.config import Config
 from docstrata.functions import exprs as X
 from docstrata.operators import claims as claim_ops
 from docstrata.operators import pending as pend
@@ -21,7 +22,7 @@ from docstrata.operators import text as text_ops
 from docstrata.sources import landed
 from docstrata.sources.tables import cut, table
 
-CFG = Config()
+CFG = config.configured(Path(os.environ["DOCSTRATA_CONFIG"]) if "DOCSTRATA_CONFIG" in os.environ else None)
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 

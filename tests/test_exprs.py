@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from docstrata import config
 from docstrata.functions import exprs as X
 from docstrata.sources.landed import listing_time
 
@@ -78,6 +79,41 @@ def test_sensitive_and_money(spark):
     assert value(spark, X.money_text(F.lit(950.0), F.lit("USD")), x="") == "USD 950"
 
 
+@pytest.mark.parametrize(
+    "title, text, sensitive",
+    [
+        ("A bank account statement, March", "", True), ("notes", "number ABCDE1234F is linked", True), ("notes", "card 1234 5678 9012 ending", True), ("Offer Letter", "", True),
+        ("Quarterly_Statement_2024", "", True), ("my NDA draft", "", True), ("doc", "see the contract note below", True), ("doc", "a" * 5000 + " bank statement", True),
+        ("Market outlook", "valued at USD 20 billion", False), ("Agenda for the meeting", "an agenda of topics", False), ("Calendar", "", False), (None, None, False),
+        ("Résumé général", "", True), ("x", "écv éresume", False), ("x", "ORDER ID 7", True),
+    ],
+)
+def test_sensitive_vectors(spark, title, text, sensitive):
+    assert value(spark, X.sensitive(F.col("t"), F.col("x"), F.lit("literature")), t=title, x=text) is sensitive
+
+
+def test_years_beside_letters(spark):
+    assert value(spark, X.latest_year_named(F.col("t"), 2026), t="é2021 2019,2020 2022_") == 2020
+
+
+def test_author_names(spark):
+    names = value(spark, F.to_json(X.author_names(F.array(F.lit("Jane van Roe"), F.lit(" Wu "), F.lit("")))), x="")
+    assert names == '[{"first":"Jane van","last":"Roe"},{"first":"","last":"Wu"}]'
+    assert value(spark, X.suffix(F.col("p")), p="a/..pdf") == "pdf" and value(spark, X.extension(F.col("p")), p="a/.pdf") == "unknown"
+
+
+def test_config(tmp_path, monkeypatch):
+    f = tmp_path / "c.toml"
+    f.write_text('privacy_names = ["Jane Roe ", ""]\nown_paths = ["mine"]\n')
+    monkeypatch.setenv("DOCSTRATA_OWN_PATHS", "")
+    got = config.configured(f)
+    assert got.privacy_names == ("Jane Roe",) and got.own_paths == () and got.own_markers == config.Config().own_markers
+    monkeypatch.setenv("DOCSTRATA_PERSONAL_KEYWORDS", " income tax, ,passport")
+    assert config.configured().personal_keywords == ("income tax", "passport")
+    f.write_text('Tea = ["green tea", " "]\nOther = ["x"]\n')
+    assert config.title_categories(f) == [("Tea", ["green tea"]), ("Other", ["x"])]
+
+
 def test_reply(spark):
     parts = X.reply_fields(F.lit('Sure {"category": "research", "topic": "x"} ok'), ["research"])
     assert [value(spark, parts[k], x="") for k in ("category", "topic")] == ["research", "x"]
