@@ -292,6 +292,19 @@ def test_mix_prefix_sums_over_buckets(spark, monkeypatch):
     assert abs(n - 1850) <= 1
 
 
+def test_languages_are_learned(spark):
+    """Spellings of one language are one, a language is told by its text, and a corpus without codes has one."""
+    documents = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    profiles = readlevel.language_profiles(documents)
+    assert len(profiles) == 4
+    number = {lang: readlevel.language(Counter(text.split()), profiles) for lang, text in (("en", "the cat and the dog are in the house that is old"), ("de", "der Hund und die Katze ist in das Haus nicht mit den"), ("fr", "le chat et les chiens dans la maison est que une"), ("es", "el gato y los perros en la casa es que una con por"))}
+    assert len(set(number.values())) == 4
+    fifth = [(10_000 + i, "xx", "ta ne mi ku so ra " * 40) for i in range(60)]
+    more = documents.select("doc_id", "lang", "text").unionByName(spark.createDataFrame(fifth, "doc_id bigint, lang string, text string"))
+    assert len(readlevel.language_profiles(more)) == 5
+    assert readlevel.language_profiles(documents.drop("lang")) == [{}]
+
+
 def test_votes_decide_where_the_lexicon_cannot():
     """With few topical words the other functions decide; with many they do not, and silence is no evidence."""
     sure = [((8, 1, 1, 1, 1), 900), ((-8, 0, 0, 0, 2), 9000), ((8, 0, 0, 0, 0), 100), ((-8, 1, 0, 0, 0), 50)]
