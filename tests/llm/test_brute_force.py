@@ -80,9 +80,12 @@ def repeats(spark, texts, days=9):
     return {r.item_key for r in history.repeated_rows(docs, documents, none.select("text_hash"), none.select("item_key", "md5")).collect()}
 
 
-@pytest.mark.parametrize("group, own", [(30, 1), (60, 1), (60, 12), (500, 8), (5000, 6)])
-def test_repeats_in_groups_of_any_size(spark, group, own):
-    """Near copies are found in small and in hot groups, whatever words of their own they have; nothing else is."""
+@pytest.mark.parametrize("group, own, least", [(30, 1, 1.0), (60, 1, 1.0), (60, 12, 0.95), (500, 8, 0.99), (5000, 6, 0.99)])
+def test_repeats_in_groups_of_any_size(spark, group, own, least):
+    """Near copies are found in small and in hot groups, whatever words of their own they have; nothing else is.
+
+    With 12 own words of 140 pairs differ by 17 %, where one pair in 40 has no band in common and early members have few partners.
+    """
     texts = made_texts(group, own)
     found = repeats(spark, texts)
     assert not {k for k in found if k[0] == "b"}
@@ -90,7 +93,7 @@ def test_repeats_in_groups_of_any_size(spark, group, own):
     if group <= 60:  # by all pairs; in larger groups everyone has an earlier partner
         bags = [words(x) for _, x in sorted(((1 + i % 9, k), x) for i, (k, x) in enumerate(texts[:group]))]
         want = sum(any(near(x, y) for y in bags[:i]) for i, x in enumerate(bags))
-    assert want >= len(found) >= 0.99 * want
+    assert want >= len(found) >= least * want
 
 
 def test_window_bands_against_all_pairs(spark):
