@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docstrata.config import STOP_WORDS
+from docstrata.sources.tables import cut, spread
 
 MAX_TERMS = 60_000  # size of the vocabulary, part of the definition
 FLUSH_TERMS = 300_000
@@ -33,9 +34,14 @@ def words(text: Column, stop: Sequence[str] = STOP_WORDS) -> Column:
     return F.filter(tokens, lambda x: x.rlike("^[a-z]{3,}$") & ~x.isin(list(stop)))
 
 
+def plain_words(text: str | None, stop: frozenset[str] = frozenset(STOP_WORDS)) -> list[str]:
+    """The words of a text, as in ``words``."""
+    return [t for t in TOKEN.findall((text or "").lower()) if t not in stop and PLAIN.fullmatch(t)]
+
+
 def terms_of(text: str | None, stop: frozenset[str] = frozenset(STOP_WORDS)) -> Counter:
     """Counts of the words of a text (as in ``words``) and of pairs of neighbours."""
-    w = [t for t in TOKEN.findall((text or "").lower()) if t not in stop and PLAIN.fullmatch(t)]
+    w = plain_words(text, stop)
     c = Counter(w)
     c.update(f"{a} {b}" for a, b in zip(w, w[1:], strict=False))
     return c
@@ -63,7 +69,7 @@ def vocabulary(docs: DataFrame, min_df: int = 5, max_df: float = 0.35, max_terms
         yield emit()
 
     n = docs.count()
-    v = docs.select("text").mapInArrow(run, "term string, df bigint, cf bigint").groupBy("term").agg(F.sum("df").alias("df"), F.sum("cf").alias("cf"))
+    v = spread(docs.select("text")).mapInArrow(run, "term string, df bigint, cf bigint").groupBy("term").agg(F.sum("df").alias("df"), F.sum("cf").alias("cf"))
     v = v.filter((F.col("df") >= min_df) & (F.col("df") <= max_df * n)).orderBy(F.desc("cf"), "term").limit(max_terms)
     got = v.select("term", (F.log((1.0 + n) / (1 + F.col("df"))) + 1).alias("idf")).toArrow()
     return dict(zip(got.column(0).to_pylist(), got.column(1).to_pylist(), strict=True))
@@ -91,13 +97,22 @@ def tfidf(docs: DataFrame, key: str, idf: dict[str, float] | None = None) -> Dat
                 weights += w.values()
             yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(at, pa.int32())), pa.array(terms, pa.string()), pa.array(weights, pa.float64())], names=[key, "term", "weight"])
 
-    return docs.select(key, "text").mapInArrow(run, f"`{key}` {kind}, term string, weight double")
+    return spread(docs.select(key, "text")).mapInArrow(run, f"`{key}` {kind}, term string, weight double")
 
 
 def bm25(docs: DataFrame, key: str, query: Sequence[str], k1: float = 1.2, b: float = 0.75) -> DataFrame:
     """key, score of the documents with any query term; only the query's terms are counted, nothing is exploded."""
     terms = sorted({q.lower() for q in query})
-    w = docs.select(key, words(F.col("text")).alias("w")).select(key, F.size("w").alias("len"), *[F.size(F.filter("w", F.lit(q).__eq__)).alias(f"tf{i}") for i, q in enumerate(terms)]).filter("len > 0")
+    kind = docs.schema[key].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rb in batches:
+            w = [plain_words(t) for t in rb.column(1).to_pylist()]
+            counts = [pa.array([x.count(t) for x in w], pa.int32()) for t in terms]
+            yield pa.RecordBatch.from_arrays([rb.column(0), pa.array([len(x) for x in w], pa.int32()), *counts], names=[key, "len", *[f"tf{i}" for i in range(len(terms))]])
+
+    schema = f"`{key}` {kind}, len int" + "".join(f", tf{i} int" for i in range(len(terms)))
+    w = cut(spread(docs.select(key, "text")).mapInArrow(run, schema).filter("len > 0"))
     stats = w.agg(F.count(F.lit(1)).alias("n"), F.avg("len").alias("avg_len"), *[F.count_if(F.col(f"tf{i}") > 0).alias(f"df{i}") for i in range(len(terms))])
     score = F.lit(0.0)
     for i in range(len(terms)):
@@ -150,7 +165,7 @@ def note_matches(notes: DataFrame, docs: DataFrame, note_key: str, key: str, top
                     found += [(ids[i], keys[j], col[j]) for j in cand]
                 yield pd.DataFrame(found, columns=[note_key, key, "similarity"])
 
-        part = docs.filter(F.col(key).isNotNull()).select(key, "text").mapInPandas(run, f"`{note_key}` {kinds[0]}, `{key}` {kinds[1]}, similarity double")
+        part = spread(docs.filter(F.col(key).isNotNull()).select(key, "text")).mapInPandas(run, f"`{note_key}` {kinds[0]}, `{key}` {kinds[1]}, similarity double")
         out = part if out is None else out.unionByName(part)
     best = Window.partitionBy(note_key).orderBy(F.desc("similarity"), key)
     return out.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= top)

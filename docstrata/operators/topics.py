@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docstrata.operators.text import words
-from docstrata.sources.tables import cut
+from docstrata.sources.tables import cut, spread
 
 FEATURES = 1024
 DIMS = 100
@@ -26,7 +26,8 @@ DIMS = 100
 
 def topic_clusters(docs: DataFrame, key: str, max_clusters: int = 100, fit: Column | None = None) -> DataFrame:
     """key, cluster, distance to the centre; the model is fitted on the rows where ``fit`` holds, all rows are assigned."""
-    w = docs.select(key, words(F.col("text")).alias("w"), (F.lit(True) if fit is None else F.coalesce(fit, F.lit(False))).alias("fit")).filter(F.size("w") > 0)
+    w = spread(docs.select(key, "text", (F.lit(True) if fit is None else F.coalesce(fit, F.lit(False))).alias("fit")))
+    w = w.select(key, words(F.col("text")).alias("w"), "fit").filter(F.size("w") > 0)
     tf = HashingTF(inputCol="w", outputCol="tf", numFeatures=FEATURES).transform(w).select(key, "tf", "fit")
     tf = cut(tf)
     known = tf.filter("fit")
