@@ -332,3 +332,28 @@ def test_subjects_and_levels_on_labels(spark):
     held = {r.doc_id: r.reading_level for r in labels if r.reading_level is not None and r.doc_id % 3 == 0}
     level = {r.doc_id: r.reading_level for r in readlevel.reading_levels(t("documents"), t("labels").filter("doc_id % 3 <> 0")).collect()}
     assert sum(level.get(d) == v for d, v in held.items()) >= 0.9 * len(held)
+
+
+def test_similar_pairs_against_all_pairs(spark):
+    """Every pair of a cosine of SIM or more is found, also where each common word has a text of lower rank that is not alike."""
+    import random
+
+    rng = random.Random(5)
+    weight, texts = {w: 1 + w % 3 for w in range(400)}, {}
+    for i in range(120):
+        base = texts[i - 1] if i % 2 else rng.sample(range(400), 12)
+        texts[i] = [*rng.sample(base, 8), *rng.sample(range(400), 4)] if i % 2 else base
+    df = Counter(w for x in texts.values() for w in set(x))
+    rows = {}
+    for i, x in texts.items():
+        norm = sum(weight[w] ** 2 for w in set(x)) ** 0.5
+        rows[i] = {w: weight[w] / norm for w in set(x)}
+    vectors = spark.createDataFrame([(i, sorted((df[w], w, v) for w, v in x.items())) for i, x in rows.items()], "doc_id bigint, vec array<struct<df bigint, term bigint, w float>>")
+    dot = lambda a, b: sum(v * rows[b].get(w, 0.0) for w, v in rows[a].items())
+    want = {(a, b) for a in rows for b in rows if a < b and dot(a, b) >= clusters.SIM + 1e-4}
+    got = {tuple(sorted((r.doc_id, r.other))) for r in clusters.similar_pairs(vectors).collect()}
+    assert len(want) > 50 and want <= got and all(dot(a, b) >= clusters.SIM - 1e-4 for a, b in got)
+    # no pivot is left beside a similar text of lower rank that is a pivot, too
+    by = {r.doc_id: r.cluster for r in clusters.pivot_rounds(vectors).collect()}
+    pivots = set(by.values())
+    assert len(by) == len(rows) and not {(a, b) for a, b in want if a in pivots and b in pivots}
