@@ -357,3 +357,20 @@ def test_similar_pairs_against_all_pairs(spark):
     by = {r.doc_id: r.cluster for r in clusters.pivot_rounds(vectors).collect()}
     pivots = set(by.values())
     assert len(by) == len(rows) and not {(a, b) for a, b in want if a in pivots and b in pivots}
+
+
+def test_near_groups_in_blocks(spark, monkeypatch):
+    """More nominees than are sent at once, and more copies than are broadcast, change no cluster."""
+    texts = [x for k in range(4) for x in made_texts(30, 4, 10, seed=k)]
+    documents = spark.createDataFrame([(i, x) for i, (_, x) in enumerate(texts)] + [(1000 + i, x) for i, (_, x) in enumerate(texts[:9])], "doc_id bigint, text string")
+    plain = {tuple(r) for r in clusters.similarity_clusters(documents).select("doc_id", "cluster").collect()}
+    bounds = []
+    monkeypatch.setattr(clusters, "MAX_NOMINEES", 3)
+    monkeypatch.setattr(clusters, "MAX_BROADCAST", 5)
+    monkeypatch.setattr(clusters, "bounded_broadcast", lambda df, rows, most: (bounds.append((rows, most)), df)[1])
+    monkeypatch.setattr(clusters, "COMMON_AT_LEAST", 10)
+    few = clusters.similarity_clusters(documents).select("doc_id", "cluster")
+    monkeypatch.setattr(clusters, "MAX_NOMINEES", 50_000)
+    assert {tuple(r) for r in few.collect()} == {tuple(r) for r in clusters.similarity_clusters(documents).select("doc_id", "cluster").collect()}
+    # words are never joined with more nominees than one block has
+    assert plain and [x for x in bounds if x[1] == 3] and all(rows <= most for rows, most in bounds if most == 3)
