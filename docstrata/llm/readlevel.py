@@ -35,7 +35,6 @@ PER_LANGUAGE = 150
 FLUSH_WORDS = 400_000
 WORD = re.compile(r"[^\W\d_]+")
 SENTENCE = re.compile(r"[.!?;]\s+|\n\s*\n")
-MAX_LANGUAGE_DOCS = 4_000  # documents with a language code that its profile is learned from, about
 MIN_LANGUAGE_DOCS = 3
 USUAL = 0.2  # share of a language's documents that have a word of its profile
 PROFILE_WORDS = 25
@@ -46,27 +45,32 @@ Profiles = list[dict[str, float]]
 def language_profiles(documents: DataFrame) -> Profiles:
     """Per language the words that tell it from the others, with weights; learned from documents that have a code.
 
-    The codes are free text: those whose usual words agree are one language.  The sample is bounded, by hash; without
+    The codes are free text: those whose usual words agree are one language.  All documents with a code count; without
     any code all texts are of one language.
     """
     if "lang" not in documents.columns:
         return [{}]
     coded = documents.filter("lang is not null and doc_id is not null").withColumn("code", F.regexp_replace(F.lower("lang"), r"[^\p{L}]+", "")).filter("code <> ''")
-    step = max(1, coded.count() // MAX_LANGUAGE_DOCS)
-    sample = coded.filter(F.pmod(F.xxhash64("doc_id"), F.lit(step)) == 0).select("code", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[str, Counter] = {}
+
+        def emit() -> pa.RecordBatch:
+            rows = [(c, w, n) for c, words in total.items() for w, n in words.items()]
+            total.clear()
+            cols = list(zip(*rows, strict=True)) or [[], [], []]
+            return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.string()), pa.array(cols[1], pa.string()), pa.array(cols[2], pa.int64())], names=["code", "word", "n"])
+
         for b in batches:
             for code, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 mine = total.setdefault(code, Counter())
                 mine.update(set(WORD.findall((t or "").lower())))
                 mine[""] += 1  # documents of the code
-        rows = [(c, w, n) for c, words in total.items() for w, n in words.items()]
-        cols = list(zip(*rows, strict=True)) or [[], [], []]
-        yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.string()), pa.array(cols[1], pa.string()), pa.array(cols[2], pa.int64())], names=["code", "word", "n"])
+            if sum(map(len, total.values())) > FLUSH_WORDS:
+                yield emit()
+        yield emit()
 
-    counts = sample.mapInArrow(run, "code string, word string, n bigint").groupBy("code", "word").agg(F.sum("n").alias("n"))
+    counts = cut(coded.select("code", "text").mapInArrow(run, "code string, word string, n bigint").groupBy("code", "word").agg(F.sum("n").alias("n")))
     sizes = counts.filter("word = ''").select("code", F.col("n").alias("docs"))
     usual = counts.join(F.broadcast(sizes), "code").filter(F.col("n") >= USUAL * F.col("docs"))  # at most (words per text) / USUAL words a code
     shares: dict[str, dict[str, float]] = {}

@@ -374,3 +374,11 @@ def test_near_groups_in_blocks(spark, monkeypatch):
     assert {tuple(r) for r in few.collect()} == {tuple(r) for r in clusters.similarity_clusters(documents).select("doc_id", "cluster").collect()}
     # words are never joined with more nominees than one block has
     assert plain and [x for x in bounds if x[1] == 3] and all(rows <= most for rows, most in bounds if most == 3)
+
+
+def test_languages_come_from_all_documents(spark):
+    """A language of a few documents among many is learned: no document with a code is left out."""
+    usual = {"aa": "the and of to in is that it for was ", "bb": "ta ne mi ku so ra pe lo vi du "}
+    rows = [(i, "aa", usual["aa"] * 2 + f"x{i % 7}") for i in range(9000)] + [(10_000 + i, "bb", usual["bb"] * 2) for i in range(readlevel.MIN_LANGUAGE_DOCS)]
+    profiles = readlevel.language_profiles(spark.createDataFrame(rows, "doc_id bigint, lang string, text string"))
+    assert len(profiles) == 2 and any("ku" in p for p in profiles)
