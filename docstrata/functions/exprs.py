@@ -8,6 +8,8 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -186,10 +188,20 @@ SENSITIVE_TITLE = "|".join(
 )
 
 
+def like(text: Column, pattern: str) -> Column:
+    """Whether text has the pattern, whatever the case.  RE2 takes a time of the text's length, Java's engine one of the number of alternatives, too."""
+
+    @F.arrow_udf("boolean")
+    def found(x: pa.Array) -> pa.Array:
+        return pc.match_substring_regex(x, f"(?i){pattern}")
+
+    return found(text)
+
+
 def sensitive(title: Column, text: Column, kind: Column, names: Sequence[str] = ()) -> Column:
     t = F.coalesce(title, F.lit(""))
     both = F.concat(t, F.lit(" "), F.coalesce(text, F.lit("")))
-    out = both.rlike("(?iu)" + SENSITIVE_TEXT) | t.rlike("(?iu)" + SENSITIVE_TITLE)
+    out = like(both, SENSITIVE_TEXT) | like(t, SENSITIVE_TITLE)
     return out | ((kind == "literature") & both.rlike("(?iu)" + quoted(names))) if names else out
 
 
@@ -202,7 +214,7 @@ def own_kind(category: Column, path: Column, own_paths: Sequence[str]) -> Column
 
 def own_text(text: Column, markers: Sequence[str]) -> Column:
     """Whether the text says that it is the owner's own output."""
-    return F.coalesce(text, F.lit("")).rlike("(?iu)" + quoted(markers)) if markers else F.lit(False)
+    return like(F.coalesce(text, F.lit("")), quoted(markers)) if markers else F.lit(False)
 
 
 def shareable(category: Column, folder: Column, private: Sequence[str]) -> Column:

@@ -8,12 +8,15 @@ corpus gives empty results.
 
 from __future__ import annotations
 
+import math
+import re
 from collections import Counter
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -25,7 +28,7 @@ MAX_TERMS = 60_000  # size of the vocabulary, part of the definition
 FLUSH_TERMS = 300_000
 NOTES_BLOCK = 2_000
 TOKEN = regex.compile(r"[\p{L}\p{M}\p{N}_]+")
-PLAIN = regex.compile(r"[a-z]{3,}")
+WORD, MARK = re.compile(r"\w+"), regex.compile(r"\p{M}")
 
 
 def words(text: Column, stop: Sequence[str] = STOP_WORDS) -> Column:
@@ -36,15 +39,19 @@ def words(text: Column, stop: Sequence[str] = STOP_WORDS) -> Column:
 
 def plain_words(text: str | None, stop: frozenset[str] = frozenset(STOP_WORDS)) -> list[str]:
     """The words of a text, as in ``words``."""
-    return [t for t in TOKEN.findall((text or "").lower()) if t not in stop and PLAIN.fullmatch(t)]
+    t = (text or "").lower()
+    tokens = WORD if t.isascii() or not MARK.search(t) else TOKEN  # the same without marks, and faster
+    return [w for w in tokens.findall(t) if len(w) > 2 and w.isascii() and w.isalpha() and w not in stop]
 
 
 def terms_of(text: str | None, stop: frozenset[str] = frozenset(STOP_WORDS)) -> Counter:
     """Counts of the words of a text (as in ``words``) and of pairs of neighbours."""
+    return Counter(term_list(text, stop))
+
+
+def term_list(text: str | None, stop: frozenset[str] = frozenset(STOP_WORDS)) -> list[str]:
     w = plain_words(text, stop)
-    c = Counter(w)
-    c.update(f"{a} {b}" for a, b in zip(w, w[1:], strict=False))
-    return c
+    return w + [f"{a} {b}" for a, b in zip(w, w[1:], strict=False)]
 
 
 def vocabulary(docs: DataFrame, min_df: int = 5, max_df: float = 0.35, max_terms: int = MAX_TERMS) -> dict[str, float]:
@@ -61,9 +68,9 @@ def vocabulary(docs: DataFrame, min_df: int = 5, max_df: float = 0.35, max_terms
 
         for b in batches:
             for t in b.column(0).to_pylist():
-                c = terms_of(t)
-                df.update(c.keys())
-                cf.update(c)
+                terms = term_list(t)
+                df.update(set(terms))
+                cf.update(terms)
                 if len(df) > FLUSH_TERMS:
                     yield emit()
         yield emit()
@@ -77,9 +84,9 @@ def vocabulary(docs: DataFrame, min_df: int = 5, max_df: float = 0.35, max_terms
 
 def weighted(text: str | None, idf: dict[str, float]) -> dict[str, float]:
     """term -> (1 + ln tf) * idf over the vocabulary, normalised."""
-    w = {t: (1 + np.log(n)) * idf[t] for t, n in terms_of(text).items() if t in idf}
-    norm = np.sqrt(sum(x * x for x in w.values()))
-    return {t: float(x / norm) for t, x in w.items()}
+    w = {t: (1 + math.log(n)) * idf[t] for t, n in terms_of(text).items() if t in idf}
+    norm = math.sqrt(sum(x * x for x in w.values()))
+    return {t: x / norm for t, x in w.items()}
 
 
 def tfidf(docs: DataFrame, key: str, idf: dict[str, float] | None = None) -> DataFrame:
@@ -100,6 +107,37 @@ def tfidf(docs: DataFrame, key: str, idf: dict[str, float] | None = None) -> Dat
     return spread(docs.select(key, "text")).mapInArrow(run, f"`{key}` {kind}, term string, weight double")
 
 
+def term_sums(docs: DataFrame, group: str) -> DataFrame:
+    """group, term, s: summed weights (as in ``tfidf``) of the documents of each group; added up inside tasks under the terms' numbers."""
+    spark = docs.sparkSession
+    idf = vocabulary(docs)
+    packed = spark.sparkContext.broadcast(({t: i for i, t in enumerate(idf)}, np.array(list(idf.values()), dtype=float)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index, idf = packed.value
+        for b in batches:
+            at, n, size = [], [], []
+            for t in b.column(1).to_pylist():
+                c = [(index[t], k) for t, k in terms_of(t).items() if t in index]
+                size.append(len(c))
+                at += [i for i, _ in c]
+                n += [k for _, k in c]
+            at, doc = np.array(at, dtype=np.int64), np.repeat(np.arange(len(size)), size)
+            w = (1 + np.log(np.array(n, dtype=float))) * idf[at]
+            w /= np.sqrt(np.bincount(doc, weights=w * w, minlength=len(size)))[doc]
+            groups = b.column(0).dictionary_encode()
+            code = pc.fill_null(groups.indices, len(groups.dictionary)).to_numpy(zero_copy_only=False).astype(np.int64)
+            pair, where = np.unique(code[doc] * max(len(idf), 1) + at, return_inverse=True)
+            code = pair // max(len(idf), 1)
+            mine = groups.dictionary.take(pa.array(code, mask=code == len(groups.dictionary)))
+            yield pa.RecordBatch.from_arrays([mine, pa.array((pair % max(len(idf), 1)).astype(np.int32)), pa.array(np.bincount(where, weights=w, minlength=len(pair)).astype(float))], names=[group, "i", "s"])
+
+    rows = spread(docs.select(F.col(group).cast("int").alias(group), "text"))
+    sums = rows.mapInArrow(run, f"`{group}` int, i int, s double").groupBy(group, "i").agg(F.sum("s").alias("s"))
+    terms = spark.createDataFrame(list(enumerate(idf)), "i int, term string")  # MAX_TERMS at most
+    return sums.join(F.broadcast(terms), "i").select(group, "term", "s")
+
+
 def bm25(docs: DataFrame, key: str, query: Sequence[str], k1: float = 1.2, b: float = 0.75) -> DataFrame:
     """key, score of the documents with any query term; only the query's terms are counted, nothing is exploded."""
     terms = sorted({q.lower() for q in query})

@@ -20,8 +20,9 @@ from docstrata.operators import pending as pend
 from docstrata.operators import similarity, state, topics, units
 from docstrata.operators import text as text_ops
 from docstrata.sources import landed
-from docstrata.sources.tables import cut, table
+from docstrata.sources.tables import attached, cut, table
 
+MAX_KEYS = 500_000  # of a broadcast
 CFG = config.configured(Path(os.environ["DOCSTRATA_CONFIG"]) if "DOCSTRATA_CONFIG" in os.environ else None)
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -101,7 +102,7 @@ def duplicate_tags(spark, d):
 def _converted(spark, d):
     ok = pend.last_attempts(table(spark, d, "fulltext_md")).filter("status = 'ok'").select("item_key", "chars")
     docs = table(spark, d, "documents").filter("coalesce(category, '') <> 'personal'").select("item_key", "category", "path", "text", "title")
-    return ok.join(docs, "item_key").select("item_key", "category", "path", "title", "text", "chars", X.text_key(F.col("text")).alias("text_hash"), X.own_kind(F.col("category"), F.col("path"), CFG.own_paths).alias("own_kind"))
+    return attached(docs, "item_key", cut(ok), MAX_KEYS).select("item_key", "category", "path", "title", "text", "chars", X.text_key(F.col("text")).alias("text_hash"), X.own_kind(F.col("category"), F.col("path"), CFG.own_paths).alias("own_kind"))
 
 
 KIND = f"case when coalesce(category, '') = 'backup' or regexp_matches(coalesce(path, ''), '(?i){X.quoted(CFG.own_paths)}') then 'own' else 'literature' end"
@@ -404,7 +405,7 @@ def literature_corpus(spark, d):
     c = _converted(spark, d).filter(~X.sensitive(F.col("title"), F.col("text"), F.lit(""), ()))
     kind = F.when((F.col("own_kind") == "own") | X.own_text(F.col("text"), CFG.own_markers), "own").otherwise("literature")
     size = F.length(F.trim(F.regexp_replace(F.coalesce("text", F.lit("")), X.SPACE, " ")))
-    c = c.select("item_key", "category", "chars", "text_hash", kind.alias("k"), (size >= 400).alias("substantive"))
+    c = cut(c.select("item_key", "category", "chars", "text_hash", kind.alias("k"), (size >= 400).alias("substantive")))
     order = F.struct((F.col("k") == "own").alias("a"), (F.coalesce("category", F.lit("")) == "backup").alias("b"), (-F.coalesce("chars", F.lit(0))).alias("c"), F.col("item_key").alias("i"))
     best = c.groupBy("text_hash").agg(F.min_by(F.struct(F.col("item_key").alias("i"), F.col("k").alias("kind")), order).alias("w"))
     return c.join(best, "text_hash").select("item_key", F.col("w.kind").alias("kind"), (F.col("item_key") == F.col("w.i")).alias("is_canonical"), "substantive")
@@ -629,10 +630,11 @@ def cluster_labels(spark, d):
 
 def _labels(docs, members):
     """cluster, label: the six terms by which a cluster's mean weights exceed those of all documents most."""
+    members = cut(members)
     n = docs.count()
     sizes = members.groupBy("cluster").agg(F.count(F.lit(1)).alias("size"))
     # one sum per cluster and term (documents without a cluster under null) gives the clusters' and the corpus' means
-    sums = cut(text_ops.tfidf(docs, "item_key").join(members, "item_key", "left").groupBy("cluster", "term").agg(F.sum("weight").alias("s")))
+    sums = cut(text_ops.term_sums(attached(docs.select("item_key", "text"), "item_key", members, MAX_KEYS, left=True), "cluster"))
     base = sums.groupBy("term").agg((F.sum("s") / n).alias("g"))
     m = sums.join(sizes, "cluster").join(base, "term").select("cluster", "term", F.round(F.col("s") / F.col("size") - F.col("g"), 6).alias("lift"))
     top = m.withColumn("rn", F.row_number().over(Window.partitionBy("cluster").orderBy(F.desc("lift"), "term"))).filter("rn <= 6")
@@ -714,15 +716,18 @@ def topic_clusters(spark, d):
 def topic_overview(spark, d):
     """Clusters fitted on the literature with the owner's documents assigned to them: sizes, years and label of each."""
     corpus = literature_corpus(spark, d).filter("is_canonical and substantive").select("item_key", "kind")
-    docs = table(spark, d, "documents").select("item_key", "text", X.catalogue_year(F.col("year"), CFG.as_of.year).alias("year")).join(corpus, "item_key")
-    c = cut(topics.topic_clusters(docs, "item_key", fit=F.col("kind") == "literature").select("item_key", "cluster").join(docs.select("item_key", "kind", "year"), "item_key"))
+    texts = table(spark, d, "documents")
+    facts = cut(texts.select("item_key", X.catalogue_year(F.col("year"), CFG.as_of.year).alias("year")).join(corpus, "item_key"))
     lit = F.col("kind") == "literature"
+    docs = attached(texts.select("item_key", "text"), "item_key", facts.select("item_key", lit.alias("lit")), MAX_KEYS)
+    c = cut(topics.topic_clusters(docs, "item_key", fit=F.col("lit")).select("item_key", "cluster").join(facts, "item_key"))
     year = F.when(lit, F.col("year"))
     g = c.groupBy("cluster").agg(
         F.count_if(lit).alias("n_docs"), F.count_if(~lit).alias("n_own"), F.floor(F.median(year)).cast("int").alias("median_year"),
         F.round(100.0 * F.count_if(year >= 2023) / F.nullif(F.count(year), F.lit(0)), 1).alias("pct_recent"),
     )
-    return g.join(_labels(docs.filter(lit), c.filter(lit).select("item_key", "cluster")), "cluster", "left")
+    literature = attached(texts.select("item_key", "text"), "item_key", cut(facts.filter(lit).select("item_key")), MAX_KEYS)
+    return g.join(_labels(literature, c.filter(lit).select("item_key", "cluster")), "cluster", "left")
 
 
 # --- gates ---------------------------------------------------------------------------------------------------

@@ -3,13 +3,16 @@ import random
 import zipfile
 
 import pytest
+from pyspark.ml.feature import HashingTF
 from pyspark.sql import functions as F
 
 from docstrata.operators import claims, pending, state, units
 from docstrata.operators.similarity import near_counts, nearest
 from docstrata.operators.text import bm25, tfidf, vocabulary
-from docstrata.operators.topics import topic_clusters
-from docstrata.sources import landed
+from docstrata.operators.topics import FEATURES, column_of, topic_clusters
+from docstrata.plans import queries as core
+from docstrata.sources import landed, tables
+from docstrata.sources.tables import attached
 from docstrata.streaming.incremental import follow_attempts, merge_batch
 
 
@@ -172,6 +175,33 @@ def test_topics_cover_all(spark, data):
     assert got.filter("distance is null or cluster < 0").count() == 0
 
 
+def test_topics_hash_like_mllib(spark):
+    h = HashingTF(numFeatures=FEATURES)
+    words = ["sun", "roof", "panel", "courts", "batteries", "strombedarf"]
+    assert [column_of(w) for w in words] == [h.indexOf(w) for w in words]
+
+
+def test_corpus_is_read_once(spark, data):
+    """The privacy patterns run over the texts once, whatever reads the corpus, and texts do not move to be joined with it."""
+    corpus = core.literature_corpus(spark, data)
+    assert "parquet" not in corpus._jdf.queryExecution().toString()
+    texts = spark.read.parquet(f"{data}/documents.parquet").select("item_key", "text")
+    kinds = corpus.select("item_key", "kind")
+    apart = attached(texts, "item_key", kinds, 0)
+    assert "Exchange" not in apart._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r.item_key for r in apart.collect()) == sorted(r.item_key for r in texts.join(kinds, "item_key").collect())
+
+
+def test_attached_is_a_join(spark, monkeypatch):
+    rows = spark.createDataFrame([("a", "x"), ("b", "y"), (None, "z"), ("c", "w"), ("a", "v")], "k string, text string")
+    facts = spark.createDataFrame([("a", 1), ("a", 2), ("c", None), (None, 4), ("d", 5)], "k string, n int")
+    for most in (tables.MAX_ATTACHED, 2):
+        monkeypatch.setattr(tables, "MAX_ATTACHED", most)
+        for left, how in ((False, "inner"), (True, "left")):
+            got, want = attached(rows, "k", facts, 0, left), rows.join(facts, "k", how)
+            assert sorted(map(str, got.select("k", "text", "n").collect())) == sorted(map(str, want.collect()))
+
+
 def test_landed_sources(spark, tmp_path):
     (tmp_path / "l.tsv").write_text("a/b.pdf\t12\t2024-01-02 03:04:05\nbad line\nc\td\te\tf\n")
     assert [tuple(r) for r in landed.read_listing(spark, str(tmp_path / "l.tsv")).collect()] == [("a/b.pdf", 12, 1704164645000)]
