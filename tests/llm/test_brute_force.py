@@ -228,6 +228,22 @@ def test_hot_group_with_own_words(spark):
     assert len({got[1000 + i] for i in range(200)}) == 200 and not {got[1000 + i] for i in range(200)} & {got[0]}
 
 
+def test_repeats_beyond_the_broadcast_bound(t, monkeypatch):
+    """Beyond MAX_KEYS texts are not shuffled to be joined with keys, and the rows are the same."""
+    tables = [t(x) for x in ("docs", "documents", "claims_done", "fulltext_md")]
+    want = sorted(map(tuple, history.repeated_rows(*tables).collect()))
+    plans, signatures = [], history.signatures
+
+    def seen(texts):
+        plans.append(texts._jdf.queryExecution().executedPlan().toString())
+        return signatures(texts)
+
+    monkeypatch.setattr(history, "signatures", seen)
+    monkeypatch.setattr(history, "MAX_KEYS", 3)
+    assert sorted(map(tuple, history.repeated_rows(*tables).collect())) == want
+    assert len(plans) == 1 and "Exchange" not in plans[0]
+
+
 def test_leaks(spark):
     passage = "The committee in Korvelund examined 45 tidal barriers beside the Marnotal ferries. Its report from Zebrinuk says that half of the Ostrelian cables were replaced in 1998 while every Pondaril winch stayed in use."
     items = spark.createDataFrame([(1, f"Read this.\n\n{passage}\n\nWhich is true?"), (2, f"Other.\n\n{passage}\n\nWhy?"), (3, "No passage"), (4, None)], "item_id bigint, text string")
