@@ -6,8 +6,9 @@ a corpus word that no passage has is a name, too.  Both sides are cut into windo
 a Bloom filter of fixed size, corpus windows that pass it are hash-joined with the passages' windows on Spark,
 so neither side passes through the driver and the corpus is read once however many items there are.  Slots
 are checked by joining on them: windows of ``WINDOW`` words whose slots hold the same words are anchors of a
-verbatim (whole, partial or lightly disguised) leak; windows of ``TEMPLATE_WINDOW`` words with ``MIN_SLOTS``
-slots that map one to one onto other words are re-parameterised items.
+verbatim (whole, partial or lightly disguised) leak, and so are windows of ``TEMPLATE_WINDOW`` words with ``MIN_SLOTS``
+slots that map one to one onto other words, at least one of them onto itself: names and numbers changed so
+often leave no shorter window whole.  Templates without a run (see below) are re-parameterised items.
 
 Anchors are extended to runs that tolerate single changed, inserted or lost words, on the texts of anchored
 documents alone.  A run that holds names must hold the passage's own ones, the more the fewer words match:
@@ -278,16 +279,20 @@ def leaked_items(documents: DataFrame, eval_items: DataFrame) -> DataFrame:
     hits = cut(corpus_windows(documents, bloom_filter(windows), known))
     small = lambda w: bounded_broadcast(w, w.count(), MAX_KEYS)
     anchors = hits.filter("not template").select("doc_id", "h", "pos").join(small(windows.filter("not template").select("h", "pid", "at", "name")), "h")
-    near = anchors.groupBy("doc_id", "pid").agg(
-        F.bool_or("name").alias("name"), F.count_distinct("at").alias("n"), (F.max("at") - F.min("at") + WINDOW).alias("span"), F.collect_set(F.col("pos") - F.col("at")).alias("shifts")
+    # template windows: what a slot holds in the passage must map one to one onto what it holds in the document
+    far = hits.filter("template").select("doc_id", "h", "pos", F.col("words").alias("mine")).join(small(windows.filter("template").select("h", "pid", "at", F.col("words").alias("theirs"), "slots")), "h")
+    pairs = F.array_distinct(F.transform("slots", lambda i: F.struct(F.get("theirs", i).alias("a"), F.get("mine", i).alias("b"))))
+    one_to_one = (F.size("pairs") == F.size(F.array_distinct("pairs.a"))) & (F.size("pairs") == F.size(F.array_distinct("pairs.b")))
+    far = cut(far.withColumn("pairs", pairs).filter(one_to_one).select("doc_id", "pid", "at", "pos", F.exists("pairs", lambda x: x["a"] == x["b"]).alias("name")).distinct())
+    # a template whose slots hold some word of the passage's own may be a leak with words changed ever so often
+    near = anchors.select("doc_id", "pid", "at", "pos", "name", F.lit(WINDOW).alias("size")).unionByName(far.filter("name").withColumn("size", F.lit(TEMPLATE_WINDOW)))
+    near = near.groupBy("doc_id", "pid").agg(
+        F.bool_or("name").alias("name"), F.count_distinct("at").alias("n"), (F.max(F.col("at") + F.col("size")) - F.min("at")).alias("span"), F.collect_set(F.col("pos") - F.col("at")).alias("shifts")
     )
     near = near.filter(F.col("name") | ((F.col("n") >= MIN_PLAIN) & (F.col("span") >= MIN_PLAIN_SPAN)))
     found = cut(extended(near.select("doc_id", "pid", "shifts"), documents, passages, known[0]))
     verbatim = found.filter("named > 0").select("doc_id", "pid", F.col("named").alias("words")).unionByName(particular_runs(found, anchors))
     verbatim = cut(verbatim.groupBy("doc_id", "pid").agg(F.max("words").alias("words")))
-    far = hits.filter("template").select("doc_id", "h", F.col("words").alias("mine")).join(small(windows.filter("template").select("h", "pid", F.col("words").alias("theirs"), "slots")), "h")
-    pairs = F.array_distinct(F.transform("slots", lambda i: F.struct(F.get("theirs", i).alias("a"), F.get("mine", i).alias("b"))))
-    one_to_one = (F.size("pairs") == F.size(F.array_distinct("pairs.a"))) & (F.size("pairs") == F.size(F.array_distinct("pairs.b")))
-    other = far.withColumn("pairs", pairs).filter(one_to_one).select("doc_id", "pid").distinct().join(verbatim, ["doc_id", "pid"], "left_anti")
+    other = far.select("doc_id", "pid").distinct().join(verbatim, ["doc_id", "pid"], "left_anti")
     both = verbatim.withColumn("kind", F.lit("verbatim")).unionByName(other.select("doc_id", "pid", F.lit(TEMPLATE_WINDOW).alias("words"), F.lit("re-parameterised").alias("kind")))
     return both.join(items.select("pid", "item_id"), "pid").select("doc_id", "item_id", "kind", "words")

@@ -270,6 +270,20 @@ def test_leak_with_changed_names(spark):
     assert [(r.doc_id, r.item_id) for r in got] == [(0, 1)]
 
 
+def test_leak_with_numbers_changed_throughout(spark):
+    """Every window of six words has a changed number; the template with its slots still leads to the run."""
+    passage = "near Korvelund people once built 45 tidal barriers close to Zebrinuk 73 cables then reached old Marnotal 19 winters before ferries left Pondaril 31 crews sailed on to Ostrelia 67 days after some engineers 54 of Korvelund had to leave"
+    items = spark.createDataFrame([(1, f"Read this.\n\n{passage}\n\nWhich is true?")], "item_id bigint, text string")
+    filler = "Some unrelated lines about gardens and roads that nobody needs to read twice. " * 4
+    changed = re.sub(r"\d+", lambda m: str(int(m.group()) + 100), passage)
+    strange = changed
+    for a, b in (("Korvelund", "Plimthar"), ("Marnotal", "Quexil"), ("Zebrinuk", "Travond"), ("Ostrelia", "Gromund"), ("Pondaril", "Yestrow")):
+        strange = strange.replace(a, b)
+    docs = spark.createDataFrame([(0, filler + changed + ". " + filler), (1, filler + strange + ". " + filler)], "doc_id bigint, text string")
+    got = {(r.doc_id, r.item_id): r.kind for r in leaks.leaked_items(docs, items).collect()}
+    assert got == {(0, 1): "verbatim", (1, 1): "re-parameterised"}
+
+
 def test_leak_without_names(spark):
     """A passage of plain lower-case words copied whole is found; its wording as a phrase in many texts is none."""
     passage = "whoever waters the garden early in the morning saves half of the water because the soil is still cool and the leaves dry slowly while the roots drink what they need before noon comes around again"
