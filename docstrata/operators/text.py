@@ -27,6 +27,7 @@ from docstrata.sources.tables import cut, spread
 MAX_TERMS = 60_000  # size of the vocabulary, part of the definition
 FLUSH_TERMS = 300_000
 NOTES_BLOCK = 2_000
+CHUNK = 2_500  # documents whose terms are in memory at once
 TOKEN = regex.compile(r"[\p{L}\p{M}\p{N}_]+")
 WORD, MARK = re.compile(r"\w+"), regex.compile(r"\p{M}")
 
@@ -115,7 +116,7 @@ def term_sums(docs: DataFrame, group: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index, idf = packed.value
-        for b in batches:
+        for b in (b.slice(i, CHUNK) for b in batches for i in range(0, b.num_rows, CHUNK)):
             at, n, size = [], [], []
             for t in b.column(1).to_pylist():
                 c = [(index[t], k) for t, k in terms_of(t).items() if t in index]

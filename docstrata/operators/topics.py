@@ -25,7 +25,7 @@ FEATURES = 1024
 DIMS = 100
 MIN_DF = 5
 CACHE_WORDS = 500_000
-CHUNK = 2_000  # documents that are dense at once
+CHUNK = 2_000  # documents in memory at once
 
 
 def column_of(word: str) -> int:
@@ -49,7 +49,7 @@ def column_counts(docs: DataFrame, key: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache: dict[str, int] = {}
-        for b in batches:
+        for b in (b.slice(i, CHUNK) for b in batches for i in range(0, b.num_rows, CHUNK)):
             size, found = [], []
             for t in b.column(1).to_pylist():
                 w = plain_words(t)
